@@ -22,7 +22,7 @@ CACHE = 250_000
 #: Longest pre-token in bytes for which a scan for the lowest pair is used in place of the queue.
 SHORT = 24
 NONE = 1 << 62
-RUN = re.compile(r"\s\s|^\s|\s\Z")
+RUN = re.compile(r"\s\s")
 
 
 class RankQueue:
@@ -174,7 +174,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """A lone space between other characters always begins a pre-token and a lone line feed always is one, so
         texts without runs of white space are looked up word by word; others go through the pattern whole."""
-        if not text or RUN.search(text):
+        if not text or text[0].isspace() or text[-1].isspace() or RUN.search(text):
             return b"".join(map(self.pieces.__getitem__, self.find(text)))
         out, later = [], self.later.__getitem__
         for line in text.split("\n"):
