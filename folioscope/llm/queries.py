@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, packing, quality_rules, rule_ensemble
+from . import bpe, exact_dedup, minhash, packing, quality_rules, rule_ensemble
 
 QUERIES = {
+    "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op3_quality_classifier": rule_ensemble.op3_quality_classifier,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
