@@ -95,7 +95,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
         if not name:
             continue
         name, closing, raw = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
-        if name in BLOCK or name in RAW:
+        if name in BLOCK:
             flush()
         elif name == "br" and not dropped:
             piece.append(" ")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, html_text, minhash, packing, quality_rules, rule_ensemble, secret_scan, warc
+from . import bpe, exact_dedup, html_text, minhash, packing, quality_rules, rule_ensemble, secret_scan, substring, warc
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
+    "op2_substring_dedup": substring.op2_substring_dedup,
     "op3_quality_classifier": rule_ensemble.op3_quality_classifier,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_secret_scan": secret_scan.op5_secret_scan,
