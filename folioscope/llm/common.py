@@ -66,6 +66,13 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def settle(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """cut(), then at most one partition for so many rows: small results aren't dealt over many empty tasks, large
+    ones keep their partitions. The number follows the count, so it grows with the input."""
+    done = cut(df)
+    return done.coalesce(max(1, -(-done.count() // rows)))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Smallest vertex reachable from every vertex of undirected edges (src, dst).
 
@@ -73,17 +80,15 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     narrow rows, so a vertex with very many edges is summed map-side. Lineage is cut each round.
     Returns (id, label); vertices without edges are absent.
     """
-    spark = edges.sparkSession
     both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    both = cut(both.where("src <> dst").distinct())
-    labels = both.groupBy(F.col("src").alias("id")).agg(F.least(F.first("src"), F.min("dst")).alias("label"))
-    labels = cut(labels)
+    both = settle(both.where("src <> dst").distinct())
+    labels = settle(both.groupBy(F.col("src").alias("id")).agg(F.least(F.first("src"), F.min("dst")).alias("label")))
     for _ in range(rounds):
         near = both.join(labels, both.dst == labels.id).groupBy("src").agg(F.min("label").alias("near"))
         step = labels.join(near, labels.id == near.src).select("id", F.least("label", "near").alias("mid"), F.col("label").alias("old"))
         root = labels.select(F.col("id").alias("mid"), F.col("label").alias("up"))
-        new = cut(step.join(root, "mid", "left").select("id", F.least("mid", F.coalesce("up", "mid")).alias("label"), "old"))
-        moved = new.where("label <> old").limit(1).count()
+        new = settle(step.join(root, "mid", "left").select("id", F.least("mid", F.coalesce("up", "mid")).alias("label"), "old"))
+        moved = not new.where("label <> old").isEmpty()
         labels = new.select("id", "label")
         if not moved:
             return labels

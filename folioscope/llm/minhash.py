@@ -10,12 +10,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, table
+from .common import components, cut, settle, table
 from .shingles import band_keys, shingle_set, superminhash, word_list
 
 #: Buckets of up to so many classes give all their pairs; larger ones compare with hubs, again while that finds links.
 SMALL = 32
-HUBS = 3
+HUBS = 2
 
 
 def _key(words: list[str]) -> bytes:
@@ -51,18 +51,22 @@ def full_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     return texts.mapInPandas(run, f"cls {kind}, shingles array<long>").dropDuplicates(["cls"])
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int, salts: int = 16) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union. b may be the hub of very many pairs, so its set is
-    repeated over a few salts and the pairs are dealt over them."""
-    left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a").withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(salts)).cast("int"))
-    hubs = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    right = sets.join(hubs, sets.cls == hubs.b).select(
-        "b", F.col("shingles").alias("sb"), F.explode(F.sequence(F.lit(0), F.when(F.col("n") > 64, F.lit(salts - 1)).otherwise(F.lit(0)))).alias("salt"), (F.col("n") > 64).alias("hot")
-    )
-    left = left.join(hubs.select("b", (F.col("n") > 64).alias("many")), "b").withColumn("salt", F.when(F.col("many"), F.col("salt")).otherwise(F.lit(0)))
+def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union. b may be the hub of very many pairs: the join on it
+    is a plain one of two shuffled sides, which Spark splits where it is skewed."""
+    left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a")
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     union = F.size("sa") + F.size("sb") - both
-    return left.join(right, ["b", "salt"]).where(100 * both >= percent * union).select("a", "b")
+    return left.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b").where(100 * both >= percent * union).select("a", "b")
+
+
+def hubs(members: DataFrame, salt: int = 0) -> DataFrame:
+    """(h, hub, hub_label): the HUBS classes of each bucket that collide most, one from each of as many slices by hash.
+    Maxima are partial, so no task holds a bucket. members: (h, cls, score, label)."""
+    slot = F.pmod(F.xxhash64("cls", F.lit(salt)), F.lit(HUBS))
+    best = [F.max(F.when(slot == k, F.struct("score", F.negative("cls").alias("low"), "label"))).alias(f"x{k}") for k in range(HUBS)]
+    found = members.groupBy("h").agg(*best).select("h", F.explode(F.array_compact(F.array(*[f"x{k}" for k in range(HUBS)]))).alias("x"))
+    return found.select("h", F.negative(F.col("x.low")).alias("hub"), F.col("x.label").alias("hub_label"))
 
 
 def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int = 6, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -71,10 +75,9 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int =
     A document's set: its distinct `width`-word shingles after lower-casing A-Z; with fewer words the whole sequence as
     one. Texts of the same words are one class, so copies are never compared. Classes that share a band of the
     SuperMinHash signature (bands * rows slots; a link at exactly 0.85 is missed with probability 5e-5) are candidates:
-    all pairs in buckets of up to 32 classes, so at most 16 pairs a row; in larger buckets every class with the three
-    classes that collide most and with two picked by hash. Candidates are confirmed on full sets. Then, as long as
-    that finds links, large buckets which still hold several components compare with new hubs from outside their
-    largest component. component_id is the smallest id reachable, kept whether it is the row's own.
+    all pairs in buckets of up to 32 classes, so at most 16 pairs a row; in larger buckets every class with two hubs,
+    the classes that collide most. Candidates are confirmed on full sets. Then, as long as that finds links, large
+    buckets which still hold several components compare with new hubs from outside their main component. component_id is the smallest id reachable, kept whether it is the row's own.
 
     Null and empty texts and texts without words have the empty set and link with nothing: their component is their
     own id. Repeated rows repeat their result; an id that has several texts links if one of them does; a null id is
@@ -84,32 +87,29 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int =
     signed = cut(signatures(picked, bands, rows, width))
     filled = signed.where("n_shingles > 0")
     classes = filled.groupBy("key").agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands")).where("cls is not null")
-    banded = classes.select("cls", "key", F.explode("bands").alias("h"))
+    banded = classes.select("cls", F.explode("bands").alias("h"))
     crowded = banded.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    buckets = cut(banded.join(crowded, "h").select("h", "c", "cls", "key"))
+    buckets = settle(banded.join(crowded, "h").select("h", "c", "cls"))
     score = buckets.groupBy("cls").agg(F.sum("c").alias("score"))
     small = buckets.where(F.col("c") <= SMALL).select("h", "cls")
     few = small.alias("x").join(small.alias("y"), "h").where("x.cls < y.cls").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    large = buckets.where(F.col("c") > SMALL).join(score, "cls").select("h", "cls", "score")
-    to_hub = large.join(_hubs(large), "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
-    sets = cut(full_sets(picked, buckets.select("cls", "key").distinct(), width))
-    links = cut(verify(few.union(to_hub).distinct(), sets, percent))
+    large = settle(buckets.where(F.col("c") > SMALL).join(score, "cls").select("h", "cls", "score"))
+    first = hubs(large.withColumn("label", F.lit(0)))
+    to_hub = large.join(first, "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+    wanted = classes.select("cls", "key").join(score.select("cls"), "cls")
+    sets = settle(full_sets(picked, wanted, width), 20_000)
+    links = settle(verify(few.union(to_hub).distinct(), sets, percent))
     label = components(links.toDF("src", "dst"))
-    done, salt = None, 0
+    salt = 0
     while True:
         salt += 1
         named = large.join(label.withColumnRenamed("id", "cls"), "cls", "left").select("h", "cls", "score", F.coalesce("label", "cls").alias("label"))
-        mixed = named.groupBy("h", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-        rest = named.join(mixed.select("h", "main"), "h")
-        hubs = _hubs(rest.where("label <> main"), salt).join(rest.select("h", F.col("cls").alias("hub"), F.col("label").alias("hub_label")), ["h", "hub"])
-        pairs = rest.join(hubs, "h").where("label <> hub_label").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        more = cut(verify(pairs, sets, percent))
+        main = named.groupBy("h").agg(F.max_by("label", F.struct("score", F.negative("cls"))).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h", "main")
+        rest = named.join(main, "h")
+        pairs = rest.join(hubs(rest.where("label <> main"), salt), "h").where("label <> hub_label").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
+        more = settle(verify(pairs, sets, percent))
         if more.isEmpty():
             break
-        done = pairs if done is None else done.union(pairs)
         links = links.union(more)
         label = components(links.toDF("src", "dst"))
     of_key = classes.select("key", "cls").join(label.withColumnRenamed("id", "cls"), "cls", "left").select("key", F.coalesce("label", "cls").alias("label"))
@@ -118,15 +118,6 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int =
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))).withColumnRenamed("doc_id", id_col)
 
 
-def _hubs(members: DataFrame, salt: int = 0) -> DataFrame:
-    """(h, hub): of each bucket the classes of highest score and two by hash. The best of a bucket are found with
-    partial maxima over slices of it, so no task sorts a bucket."""
-    slices = members.withColumn("slice", F.pmod(F.xxhash64("cls", F.lit(salt)), F.lit(HUBS)))
-    best = slices.groupBy("h", "slice").agg(F.max(F.struct("score", F.negative("cls").alias("low"))).alias("x")).select("h", F.negative(F.col("x.low")).alias("hub"))
-    picked = members.groupBy("h").agg(F.min(F.struct(F.xxhash64("cls", F.lit(salt)).alias("r"), "cls")).alias("lo"), F.max(F.struct(F.xxhash64("cls", F.lit(salt)).alias("r"), "cls")).alias("hi"))
-    return best.union(picked.select("h", F.col("lo.cls").alias("hub"))).union(picked.select("h", F.col("hi.cls").alias("hub"))).distinct()
-
-
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 

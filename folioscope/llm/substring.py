@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, table
-from .minhash import SMALL, _hubs, verify
+from .common import components, cut, settle, table
+from .minhash import SMALL, hubs, verify
 from .shingles import ODD, mix, windows, word_hashes, word_list
 
 #: A word begins a paragraph where the hash of it and the word before is the lowest among so many on either side.
@@ -113,13 +113,13 @@ def repeated_spans(docs: DataFrame, percent: int = 80, bands: int = 3, width: in
     live = live.select("key", (F.col("c1") != F.col("c2")).alias("mixed"))
     found = cut(rows.join(live, "key"))
     mixed = found.where("mixed").groupBy("key", "cls").agg(F.min(F.struct("doc_id", "seg")).alias("at"))
-    members = cut(mixed.join(mixed.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "key"))
+    members = settle(mixed.join(mixed.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "key"))
     small = members.where(F.col("c") <= SMALL).select("key", "cls")
     few = small.alias("x").join(small.alias("y"), "key").where("x.cls < y.cls").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    large = members.where(F.col("c") > SMALL).select(F.col("key").alias("h"), "cls", F.lit(1).alias("score"))
-    to_hub = large.join(_hubs(large), "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+    large = members.where(F.col("c") > SMALL).select(F.col("key").alias("h"), "cls", F.lit(1).alias("score"), F.lit(0).alias("label"))
+    to_hub = large.join(hubs(large), "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
     wanted = members.groupBy("cls").agg(F.min("at").alias("at")).select("at.doc_id", "at.seg", "cls")
-    sets = cut(class_sets(picked, wanted, width))
+    sets = settle(class_sets(picked, wanted, width), 50_000)
     label = components(verify(few.union(to_hub).distinct(), sets, percent).toDF("src", "dst"))
     once = found.groupBy("doc_id", "seg", "start", "n_words", "cls").agg(F.lit(1).alias("one"))
     grouped = once.join(label.withColumnRenamed("id", "cls"), "cls", "left").select("doc_id", "seg", "start", "n_words", F.coalesce("label", "cls").alias("component_id"))
