@@ -28,9 +28,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), pick("id").alias("rep"))
     dup = hashed.join(first.where("n > 1"), "h").select("id", "h", "rep").where("id is not null").distinct()
     held = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(dup, "id").select("id", "h", "rep", ascii_lower(F.col("text")).alias("norm"))
-    rep = held.where("id = rep").select("h", F.col("norm").alias("rep_norm"))
-    # A repeated id can hold two texts; a row that equals no text of the representative is a collision.
-    same = held.join(rep, "h").groupBy("id", "h").agg(F.min(F.col("norm") == F.col("rep_norm")).alias("same"))
+    # A repeated id can hold other texts too, of other hashes; those say nothing about this group.
+    own = F.unhex(F.md5("norm")) == F.col("h")
+    rep = held.where("id = rep").where(own).select("h", F.col("norm").alias("rep_norm"))
+    same = held.join(rep, "h").groupBy("id", "h").agg(F.min((F.col("norm") == F.col("rep_norm")) | ~own).alias("same"))
     odd = same.where("not same").select("id", "h", F.lit(True).alias("odd"))
     sub = hashed.join(odd, ["id", "h"], "left").select("id", "h", "sha", F.when(F.col("odd"), F.col("sha")).otherwise("").alias("sub"))
     groups = sub.groupBy("h", "sub").agg(F.count(F.lit(1)).alias("group_size"), pick("id").alias("keep_id"))

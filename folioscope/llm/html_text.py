@@ -19,10 +19,12 @@ LEAST = 8
 #: Distinct pages of a host that a substring is on before it is boilerplate.
 PAGES = 2
 
+#: Possessive throughout, so that no page makes it go back.
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|<[a-zA-Z/!?][^<>]*\Z",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>",
     re.S,
 )
+OPENS = re.compile(r"<[a-zA-Z/!?]")
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "xmp", "noembed", "noframes"}
 DROP = {"nav", "aside", "form", "svg", "template", "button", "select", "dialog", "menu", "object", "audio", "video", "canvas", "footer", "head", "header", "datalist", "fieldset"}
@@ -65,7 +67,10 @@ def blocks(page: str) -> tuple[list[str], bool]:
     seen: set[str] = set()
     piece: list[str] = []
     stack: list[tuple[str, bool]] = []
+    open_: dict[str, int] = {}
     dropped, zones, at = 0, {"article": 0, "main": 0}, 0
+    unclosed = OPENS.search(page, page.rfind(">") + 1)  # a tag that the page's end cuts off
+    page = page[: unclosed.start()] if unclosed else page
 
     def flush() -> None:
         if piece:
@@ -80,6 +85,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
     def pop() -> None:
         nonlocal dropped
         name, gone = stack.pop()
+        open_[name] -= 1
         dropped -= gone
         if name in zones and not gone and zones[name]:
             zones[name] -= 1
@@ -100,7 +106,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
         elif name == "br" and not dropped:
             piece.append(" ")
         if closing:
-            if any(n == name for n, _ in stack):
+            if open_.get(name):
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -116,10 +122,11 @@ def blocks(page: str) -> tuple[list[str], bool]:
         if name == "li" and stack and stack[-1][0] == "li":
             pop()
         gone = _chrome(name, raw, zones["article"] > 0)
-        if name in zones and not gone and dropped and not any(n in zones or n in ("aside", "footer") for n, _ in stack):
+        if name in zones and not gone and dropped and not any(map(open_.get, (*zones, "aside", "footer"))):
             while dropped:  # chrome that was never closed
                 pop()
         stack.append((name, gone))
+        open_[name] = open_.get(name, 0) + 1
         dropped += gone
         if name in zones and not dropped:
             zones[name] += 1
@@ -220,9 +227,9 @@ def unique_runs(found: list[str], hit: set[int], least: int) -> list[str]:
     for i in np.flatnonzero(np.isin(keys, np.fromiter(hit, np.int64, len(hit)))):
         if last[i] - i >= width[i]:  # a window ends inside its block
             covered[i : i + width[i]] = True
-    out = []
+    out, bounds = [], np.searchsorted(o, np.arange(len(found) + 1))
     for i, block in enumerate(found):
-        own = covered[o == i]
+        own = covered[bounds[i] : bounds[i + 1]]
         text = block if not own.any() else " ".join(w for w, c in zip(block.split(), own, strict=True) if not c)
         if text:
             out.append(text)

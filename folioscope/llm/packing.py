@@ -43,7 +43,8 @@ class WordEncoder:
         return np.array([t.id for t in self.tok.model.tokenize("".join([self.visible[b] for b in word.encode()]))], "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if "<|" in text and any(s in text for s in self.special):  # the library finds these before it splits words
+        # The library finds its special tokens before it splits words, and its tables of letters are older than ours.
+        if "<|" in text and any(s in text for s in self.special) or not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(text)):
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         plain = text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")
         plain = plain.lower()
