@@ -38,11 +38,18 @@ def cosine(a: Column, b: Column) -> Column:
     return dot / (norm(a) * norm(b))
 
 
-def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score, rank) against all vectors (vec_id, embedding). The queries are a stated set: they are
-    broadcast in one block, and each partition keeps its k best of each before the shuffle."""
-    scored = vectors.join(F.broadcast(queries), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(cosine(F.col("embedding"), F.col("query_embedding")), 6).alias("score"))
-    return top_k(scored, "query_id", [F.desc("score"), F.col("vec_id")], k)
+def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int, block: int = 4096) -> DataFrame:
+    """(query_id, vec_id, score, rank) against all vectors (vec_id, embedding). The queries are a stated set, which may
+    grow with the data: they go in blocks of about `block`, dealt by hash, so what is broadcast has a bound; each
+    partition keeps its k best of a query before the shuffle."""
+    n = max(1, -(-queries.count() // block))
+    scored = None
+    for i in range(n):
+        some = queries if n == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i)
+        part = vectors.join(F.broadcast(some), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(cosine(F.col("embedding"), F.col("query_embedding")), 6).alias("score"))
+        part = top_k(part, "query_id", [F.desc("score"), F.col("vec_id")], k)
+        scored = part if scored is None else scored.union(part)
+    return scored
 
 
 def reciprocal_rank_fusion(rankings: list[DataFrame], query: str, item: str, k: int, constant: int = 60) -> DataFrame:

@@ -120,14 +120,17 @@ def sections_by_separator(spark, d):
     return S.sections(rows, "doc_id", "sep").groupBy("doc_id", "section_no").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).cast("long").alias("n_chars"))
 
 
+CARD = "concat(c_mktsegment, ' Segment\n\n', c_name, ' pays.\n', case when c_nationkey % 2 = 0 then 'Account Of ' else 'account of ' end, c_name, '\n', c_mktsegment)"
+
+
 @query(
-    rf"""with l as (select doc_id, unnest(string_split(text, chr(10))) x from documents where lang = 'en'), s as (select doc_id, {STRIP.format('x')} x from l),
+    rf"""with l as (select c_custkey, unnest(string_split({CARD.replace(chr(92) + 'n', "' || chr(10) || '")}, chr(10))) x from customer), s as (select c_custkey, {STRIP.format('x')} x from l),
     w as (select *, regexp_split_to_array(x, '\s+') ws from s where x <> '' and length(x) <= 80)
-    select doc_id, x line from w where len(ws) between 2 and 5 and not regexp_matches(x, '[.,;:?!]$') and len(list_filter(ws, lambda v: regexp_matches(v, '^[A-Z]'))) >= 0.7 * len(ws)"""
+    select c_custkey, x line from w where len(ws) between 2 and 5 and not regexp_matches(x, '[.,;:?!]$') and len(list_filter(ws, lambda v: regexp_matches(v, '^\p{{Lu}}'))) >= 0.7 * len(ws)"""
 )
 def header_candidates(spark, d):
-    rows = S.exploded(documents(spark, d).where("lang = 'en'"), F.split("text", "\n"), "doc_id")
-    return rows.where(T.is_likely_header(F.col("line"))).select("doc_id", T.strip(F.col("line")).alias("line"))
+    rows = S.exploded(read(spark, d, "customer").withColumn("card", F.expr(CARD)), F.split("card", "\n"), "c_custkey")
+    return rows.where(T.is_likely_header(F.col("line"))).select("c_custkey", T.strip(F.col("line")).alias("line"))
 
 
 @query()
@@ -237,12 +240,12 @@ THEMES = {"symbols": "[#$%&]", "shouting": "!!", "questions": "[?]", "digits": "
 
 
 @query(
-    "select doc_id, coalesce(list_aggregate(list_filter([" + ", ".join(f"case when regexp_matches(lower(text), '{p}') then '{k}' end" for k, p in CONCEPTS.items()) + "], lambda v: v is not null), 'string_agg', ','), '') concepts,"
-    " coalesce(list_aggregate(list_filter([" + ", ".join(f"case when regexp_matches(lower(text), '{p}') then '{k}' end" for k, p in THEMES.items()) + "], lambda v: v is not null)[1:5], 'string_agg', ','), '') themes from documents where lang = 'en'"
+    "select doc_id, coalesce(list_aggregate(list_filter([" + ", ".join(f"case when regexp_matches(lower(coalesce(text, '')), '{p}') then '{k}' end" for k, p in CONCEPTS.items()) + "], lambda v: v is not null), 'string_agg', ','), '') concepts,"
+    " coalesce(list_aggregate(list_filter([" + ", ".join(f"case when regexp_matches(lower(coalesce(text, '')), '{p}') then '{k}' end" for k, p in THEMES.items()) + "], lambda v: v is not null)[1:5], 'string_agg', ','), '') themes from documents"
 )
 def concept_tags(spark, d):
     t = F.col("text")
-    return documents(spark, d).where("lang = 'en'").select("doc_id", F.array_join(T.tagged(t, CONCEPTS), ",").alias("concepts"), F.array_join(T.tagged(t, THEMES, 5), ",").alias("themes"))
+    return documents(spark, d).select("doc_id", F.array_join(T.tagged(t, CONCEPTS), ",").alias("concepts"), F.array_join(T.tagged(t, THEMES, 5), ",").alias("themes"))
 
 
 @query(
@@ -271,9 +274,9 @@ def priority_score(spark, d):
 # -- neighbours, parents, duplicates ------------------------------------------------------------------------------------
 
 
-@query("select conv_id, turn, role, lag(nullif(left(text, 40), '')) over w previous_summary, lead(nullif(left(text, 40), '')) over w next_summary from conversations window w as (partition by conv_id order by turn)")
+@query("select conv_id, turn, role, lag(nullif(text, '')) over w previous_summary, lead(nullif(text, '')) over w next_summary from conversations window w as (partition by conv_id order by turn)")
 def neighbor_summary(spark, d):
-    return R.neighbours(read(spark, d, "conversations"), "conv_id", "turn", F.left("text", F.lit(40))).drop("text")
+    return R.neighbours(read(spark, d, "conversations"), "conv_id", "turn", F.col("text")).drop("text")
 
 
 @query(
@@ -307,10 +310,11 @@ def dup_ids_cross_source(spark, d):
     return K.duplicates(keyed, "h", "doc_id").select("doc_id", "first_in")
 
 
-@query("select c.conv_id, c.turn, min(abs(c.turn - s.turn)) distance from conversations c join conversations s on c.conv_id = s.conv_id and abs(c.turn - s.turn) <= 1 where s.conv_id % 3 = 0 and s.turn % 4 = 0 group by all")
+@query("select c.conv_id, c.turn, min(abs(c.turn - s.turn)) distance from conversations c join conversations s on c.conv_id = s.conv_id and abs(c.turn - s.turn) <= 1 where s.role = 'assistant' group by all")
 def context_expand(spark, d):
-    turns = read(spark, d, "conversations").select("conv_id", "turn")
-    return R.expand_context(turns.where("conv_id % 3 = 0 and turn % 4 = 0"), turns, "conv_id", "turn", 1)
+    """Turns within one place of an answer."""
+    turns = read(spark, d, "conversations").select("conv_id", "turn", "role")
+    return R.expand_context(turns.where("role = 'assistant'").drop("role"), turns.drop("role"), "conv_id", "turn", 1)
 
 
 @query("select p_brand, arg_min(p_partkey, (p_size, p_partkey)) first_item, min(p_size) first_seen, count(distinct p_partkey) n_items from part group by 1")
@@ -468,10 +472,10 @@ def recurrence_backbone(spark, d):
     return R.recurrence(rows, "item", "y", "l_orderkey")
 
 
-@query(r"select lang, source, sum(len(regexp_extract_all(lower(coalesce(text, '')), '\bthe\b')))::bigint n_the, sum(len(regexp_extract_all(lower(coalesce(text, '')), 'licen[cs]e')))::bigint n_license from documents where lang = 'en' group by all")
+@query(r"select lang, source, sum(len(regexp_extract_all(lower(coalesce(text, '')), '\bthe\b')))::bigint n_the, sum(len(regexp_extract_all(lower(coalesce(text, '')), 'licen[cs]e')))::bigint n_license from documents group by all")
 def term_trend(spark, d):
     n = lambda p: F.sum(F.regexp_count(F.lower("text"), F.lit(p))).cast("long")
-    return documents(spark, d).where("lang = 'en'").groupBy("lang", "source").agg(n(r"\bthe\b").alias("n_the"), n("licen[cs]e").alias("n_license"))
+    return documents(spark, d).groupBy("lang", "source").agg(n(r"\bthe\b").alias("n_the"), n("licen[cs]e").alias("n_license"))
 
 
 @query(
@@ -524,13 +528,13 @@ def hybrid_rrf(spark, d):
 
 
 @query(
-    r"""with a as (select distinct doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) t from documents where lang = 'en'), b as (select distinct item_id, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) t from benchmark),
+    r"""with a as (select distinct doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) t from documents), b as (select distinct item_id, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) t from benchmark),
     na as (select doc_id, count(*) n from a group by 1), nb as (select item_id, count(*) m from b group by 1)
     select doc_id, item_id, round(count(*) / (n + m - count(*)), 6) jaccard from a join b using (t) join na using (doc_id) join nb using (item_id) group by doc_id, item_id, n, m having round(count(*) / (n + m - count(*)), 6) >= 0.1"""
 )
 def similar_items(spark, d):
     long_words = lambda df, i: df.select(i, F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), F.lit(0))).alias("t"))
-    return O.overlap_pairs(long_words(read(spark, d, "documents").where("lang = 'en'"), "doc_id"), long_words(read(spark, d, "benchmark"), "item_id"), "doc_id", "item_id", "t", 0.1)
+    return O.overlap_pairs(long_words(read(spark, d, "documents"), "doc_id"), long_words(read(spark, d, "benchmark"), "item_id"), "doc_id", "item_id", "t", 0.1)
 
 
 @query(r"select page_id, length(trim(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<(script|style)[^>]*>[^<]*</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) n_chars from pages")
