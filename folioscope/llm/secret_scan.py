@@ -19,10 +19,11 @@ DICTIONARY = (
     "com|org|html|image|content|page|list|item|time|date|number|string|type|class|public|private|static|return|import|export"
 )
 #: A candidate: a private key's header, or a run of token characters that starts after none of them and has a digit,
-#: 16 long at least, or 8 long where a key word, a sign and perhaps a quote stand before it.
+#: 16 long at least, or 8 long where a key word, a sign and perhaps a quote stand before it. A sign of equality ends a
+#: name and may pad a value, so it never lies within one.
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
-    r"|(?<![A-Za-z0-9+/_=~-])(?=[A-Za-z+/_=~-]{0,120}[0-9])[A-Za-z0-9+/_~-][A-Za-z0-9+/_=~-]{15,}"
+    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----|\bA[KS]IA[A-Z0-9]{16}\b"
+    r"|(?<![A-Za-z0-9+/_~-])(?=[A-Za-z+/_~-]{0,120}[0-9])[A-Za-z0-9+/_~-]{16,}={0,2}"
     rf"|(?i)(?<=\b(?:{KEYWORDS})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)(?-i)[^\s\"'<>]{{8,}}"
 )
 FEATURES = ("length", "transitions", "digits", "uppers", "alphabet", "dictionary", "hex", "prefix", "path", "near_key", "near_negative", "assigned", "repeats")
@@ -60,7 +61,8 @@ def labelled_findings(n: int = 3000, seed: int = 5) -> list[tuple[int, str, str,
     key = lambda: r.choice(["token", "secret", "api_key", "password", "access_key", "auth", "API-KEY", "client_secret", "pwd"]) + r.choice([" = ", "=", ": ", ":"]) + r.choice(['"', "'", ""])
     good = [
         lambda: (some(hexes, r.choice([32, 40, 64, 48, 36])), text() + key()),
-        lambda: (some(b64, r.randint(20, 60)), text() + key()),
+        lambda: (some(hexes, r.randint(10, 30)), text() + key()),
+        lambda: (some(r.choice([b64, b64[:62]]), r.randint(12, 60)), text() + key()),
         lambda: ("AKIA" + some("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), text() + r.choice(["", key()])),
         lambda: (r.choice(["ghp_", "gho_", "ghs_", "sk-", "sk_", "glpat-"]) + some(b64[:62], r.randint(24, 40)), text() + r.choice(["", key(), "bearer "])),
         lambda: ("xoxb-" + some("0123456789", 11) + "-" + some(b64[:62], 24), text()),

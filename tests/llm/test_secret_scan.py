@@ -1,0 +1,67 @@
+"""Secrets: held-out findings, places in the text, redaction."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from folioscope.llm import secret_scan as S
+
+SCHEMA = "doc_id long, text string, source string"
+AWS, GIT = "AKIA" + "QZ7XKD3MPL2VNB5T", "ghp_" + "a8Kd93hfLq02mZx7Bv5Tn1Yc6Re4Wp0Uj3Gs"
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return S.train(spark)
+
+
+def test_held_out_findings(spark, forest):
+    rows = spark.createDataFrame(S.labelled_findings(1500, seed=99), "label int, value string, left string, right string, source string")
+    of = S.features(F.col("value"), F.col("left"), F.col("right"), F.col("source"))
+    got = rows.select("label", S.vote(forest, of).alias("score")).collect()
+    right = sum((r["score"] >= 0.5) == bool(r["label"]) for r in got) / len(got)
+    assert right > 0.93, right
+
+
+def test_places_and_redaction(spark, forest):
+    texts = [
+        f"The key is {AWS} and more words follow here.", f"été token = \"{GIT}\" end", "commit 0123456789abcdef0123456789abcdef01234567 fixed it", None, "", "plain words only, nothing to see",
+        f"{AWS} {AWS}\n{GIT}", "a very long text " * 40_000 + f"secret: {GIT} tail", "-----BEGIN RSA PRIVATE KEY-----\nabc", "x1" * 300_000,
+    ]
+    df = spark.createDataFrame([(i, t, None if i % 2 else "web") for i, t in enumerate(texts)], SCHEMA).withColumn("score", F.lit("z")).withColumn("start", F.lit(1))
+    found = S.scan(df, forest).collect()
+    for r in found:
+        assert texts[r["doc_id"]][r["start"] : r["start"] + r["length"]] == r["value"]
+    secret = {(r["doc_id"], r["value"]) for r in found if r["is_secret"]}
+    assert {(0, AWS), (1, GIT), (6, AWS), (6, GIT), (7, GIT)} <= secret and not any(i == 2 for i, _ in secret)
+    clean = S.redact(df, forest)
+    assert clean.columns == df.columns
+    want = {}
+    for i, t in enumerate(texts):
+        spans = sorted(((r["start"], r["length"]) for r in found if r["doc_id"] == i and r["is_secret"]), reverse=True)
+        for at, n in spans:
+            t = t[:at] + "[SECRET]" + t[at + n :]
+        want[i] = t
+    assert {r["doc_id"]: r["text"] for r in clean.collect()} == want
+    assert S.scan(df.limit(0), forest).count() == 0
+
+
+def test_query_reads_every_row(spark, sf_dir, forest):
+    """Keys of known form, and what stands behind a key word and a sign, are secrets; long numbers alone are not."""
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = S.op5_secret_scan(spark, sf_dir).collect()
+    assert {r["doc_id"] for r in got} <= set(docs) and any(r["is_secret"] for r in got)
+    for i, t in docs.items():  # each well-known key is among the secrets
+        for m in re.finditer(r"\bAKIA[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|(?<=password=)[0-9a-f]{16,}|(?<=token = .)[0-9a-f]{16,}", t or ""):
+            assert any(r["doc_id"] == i and r["start"] <= m.start() < r["start"] + r["length"] and r["is_secret"] for r in got), (i, m[0])
+    assert not any(r["is_secret"] for r in got if docs[r["doc_id"]][r["start"] : r["start"] + r["length"]].isdigit())
+
+
+def test_stage_keeps_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = S.mask_secrets(spark, docs, sf_dir)
+    assert got.columns == docs.columns and got.count() == docs.count()
