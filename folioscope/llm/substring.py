@@ -61,36 +61,54 @@ def described(text: str, bands: int, width: int) -> tuple[np.ndarray, ...]:
 
 
 def banded(docs: DataFrame, bands: int, width: int) -> DataFrame:
-    """(doc_id, seg, start, n_words, cls, key): one row per paragraph and band."""
+    """(doc_id, span, cls, key, part, known): one row per paragraph and band; span is 128 * first word + words.
+
+    Pre-aggregated by batch: of a key that a batch has in several documents, which so is live, one row has the key as
+    part and meets the other batches; the rest have a part of their own, so no key gathers more rows than there are
+    batches. known: 0 where the batch has the key in one document, else 1, or 3 where its classes differ there too.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for at in range(0, len(b), 500):
+            for at in range(0, len(b), 1000):
+                ids, texts = b["doc_id"].iloc[at : at + 1000], b["text"].iloc[at : at + 1000]
+                code = pd.factorize(ids)[0]
                 out = []
-                for doc, text in zip(b["doc_id"].iloc[at : at + 500], b["text"].iloc[at : at + 500], strict=True):
+                for row, text in enumerate(texts):
                     starts, sizes, content, keys, _, _ = described(text, bands, width)
-                    n = len(starts)
-                    if n:
-                        out.append((np.full(n * bands, doc), np.repeat(np.arange(n), bands), np.repeat(starts, bands), np.repeat(sizes, bands), np.repeat(content, bands), keys.reshape(-1)))
-                if out:
-                    yield pd.DataFrame({k: np.concatenate([o[i] for o in out]) for i, k in enumerate(("doc_id", "seg", "start", "n_words", "cls", "key"))})
-
-    return docs.mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, seg int, start int, n_words int, cls long, key long")
+                    out.append((np.full(len(starts) * bands, row), np.repeat(starts * 128 + sizes, bands), np.repeat(content, bands), keys.reshape(-1)))
+                row, span, cls, key = (np.concatenate([o[i] for o in out]) for i in range(4))
+                if not len(row):
+                    continue
+                order = np.argsort(key, kind="stable")
+                row, span, cls, key = row[order], span[order], cls[order], key[order]
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                length = np.diff(np.append(first, len(key)))
+                doc = code[row]
+                multi = np.repeat(np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first), length)
+                mixed = np.repeat(np.minimum.reduceat(cls, first) != np.maximum.reduceat(cls, first), length)
+                alone = multi.copy()
+                alone[first] = False
+                own = mix(cls.view(np.uint64) + row.astype(np.uint64) * ODD[1] + span.astype(np.uint64) * ODD[2]).view(np.int64)
+                yield pd.DataFrame({"doc_id": ids.values[row], "span": span, "cls": cls, "key": key, "part": np.where(alone, own, key), "known": np.where(multi, 1 + 2 * mixed, 0).astype(np.int8)})
+
+    return docs.mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, span long, cls long, key long, part long, known byte")
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(cls, shingles) of the classes wanted (doc_id, seg, cls), from the texts of the documents that hold them."""
+    """(cls, shingles) of the classes wanted (doc_id, span, cls), from the texts of the documents that hold them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for text, segs, classes in zip(b["text"], b["segs"], b["classes"], strict=True):
-                _, _, content, _, w, bounds = described(text, 1, width)
-                rows = [(c, np.unique(w[bounds[s, 0] : bounds[s, 1]]).view(np.int64)) for s, c in zip(segs, classes, strict=True) if s < len(content) and content[s] == c]
+            for text, spans, classes in zip(b["text"], b["spans"], b["classes"], strict=True):
+                starts, _, content, _, w, bounds = described(text, 1, width)
+                at = np.searchsorted(starts, np.asarray(spans) >> 7)
+                rows = [(c, np.unique(w[bounds[s, 0] : bounds[s, 1]]).view(np.int64)) for s, c in zip(at, classes, strict=True) if s < len(content) and content[s] == c]
                 if rows:
                     yield pd.DataFrame(rows, columns=["cls", "shingles"])
 
-    of = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("seg", "cls")).alias("x")).select("doc_id", F.col("x.seg").alias("segs"), F.col("x.cls").alias("classes"))
-    return docs.join(of, "doc_id").select("text", "segs", "classes").mapInPandas(run, "cls long, shingles array<long>").dropDuplicates(["cls"])
+    of = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("span", "cls")).alias("x")).select("doc_id", F.col("x.span").alias("spans"), F.col("x.cls").alias("classes"))
+    return docs.join(of, "doc_id").select("text", "spans", "classes").mapInPandas(run, "cls long, shingles array<long>").dropDuplicates(["cls"])
 
 
 def repeated_spans(docs: DataFrame, percent: int = 80, bands: int = 3, width: int = 5, least: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -108,27 +126,30 @@ def repeated_spans(docs: DataFrame, percent: int = 80, bands: int = 3, width: in
     ignored; an empty table gives no rows.
     """
     picked = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("doc_id is not null")
-    rows = banded(picked, bands, width)
-    live = rows.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min("cls").alias("c1"), F.max("cls").alias("c2")).where("lo <> hi")
-    live = live.select("key", (F.col("c1") != F.col("c2")).alias("mixed"))
-    found = cut(rows.join(live, "key"))
-    mixed = found.where("mixed").groupBy("key", "cls").agg(F.min(F.struct("doc_id", "seg")).alias("at"))
+    group = Window.partitionBy("part")
+    live = (F.max("known").over(group) > 0) | (F.min("doc_id").over(group) != F.max("doc_id").over(group))
+    mixed = (F.col("known") > 1) | (F.min("cls").over(group) != F.max("cls").over(group))
+    rows = banded(picked, bands, width).select("doc_id", "span", "cls", "key", live.alias("live"), mixed.alias("mixed"))
+    found = cut(rows.where("live").drop("live"))
+    mixed = found.where("mixed").groupBy("key", "cls").agg(F.min(F.struct("doc_id", "span")).alias("at"))
     members = settle(mixed.join(mixed.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "key"))
     small = members.where(F.col("c") <= SMALL).select("key", "cls")
     few = small.alias("x").join(small.alias("y"), "key").where("x.cls < y.cls").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
     large = members.where(F.col("c") > SMALL).select(F.col("key").alias("h"), "cls", F.lit(1).alias("score"), F.lit(0).alias("label"))
     to_hub = large.join(hubs(large), "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
-    wanted = members.groupBy("cls").agg(F.min("at").alias("at")).select("at.doc_id", "at.seg", "cls")
+    wanted = members.groupBy("cls").agg(F.min("at").alias("at")).select("at.doc_id", "at.span", "cls")
     sets = settle(class_sets(picked, wanted, width), 50_000)
     label = components(verify(few.union(to_hub).distinct(), sets, percent).toDF("src", "dst"))
-    once = found.groupBy("doc_id", "seg", "start", "n_words", "cls").agg(F.lit(1).alias("one"))
-    grouped = once.join(label.withColumnRenamed("id", "cls"), "cls", "left").select("doc_id", "seg", "start", "n_words", F.coalesce("label", "cls").alias("component_id"))
+    once = found.select("doc_id", "span", "cls").distinct()
+    grouped = once.join(label.withColumnRenamed("id", "cls"), "cls", "left").select("doc_id", "span", F.coalesce("label", "cls").alias("component_id"))
     first = grouped.groupBy("component_id").agg(F.min("doc_id").alias("first_doc_id"))
     gone = grouped.join(first, "component_id").where("doc_id <> first_doc_id")
-    run = gone.withColumn("run", F.col("seg") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("seg")))
+    gone = gone.withColumn("start", F.shiftright("span", 7)).withColumn("end", F.col("start") + F.col("span").bitwiseAND(127))
+    within = Window.partitionBy("doc_id").orderBy("start", "end")
+    before = F.max("end").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    run = gone.withColumn("new", F.coalesce(F.col("start") > before, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(within))
     spans = run.groupBy("doc_id", "run").agg(
-        F.min("start").cast("long").alias("start"), (F.max(F.col("start") + F.col("n_words")) - F.min("start")).cast("long").alias("n_words"),
-        F.min("first_doc_id").alias("first_doc_id"), F.min("component_id").alias("component_id"),
+        F.min("start").alias("start"), (F.max("end") - F.min("start")).alias("n_words"), F.min("first_doc_id").alias("first_doc_id"), F.min("component_id").alias("component_id")
     )
     return spans.where(F.col("n_words") >= least).drop("run").withColumnRenamed("doc_id", id_col)
 
