@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -78,7 +79,7 @@ def marked(pages: DataFrame, least: int = 0) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, path: str, least: int = 0, segment: int = SEGMENT, chunk: int = CHUNK) -> None:
-    """Archives under path, written by Spark's own writer, so to any file system that it knows. UTF-8 payloads and
+    """Gzipped archives under path, written by Spark's own writer, so to any file system that it knows. UTF-8 payloads and
     ASCII headers are text; a record's last line feed is the writer's line separator."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,7 +94,7 @@ def write_warc(pages: DataFrame, path: str, least: int = 0, segment: int = SEGME
                 out.append(got.decode("utf-8")[:-1])
             yield pd.DataFrame({"value": out})
 
-    marked(pages, least).select("page_id", "url", "html", "refers_to").mapInPandas(run, "value string").write.option("maxRecordsPerFile", ROWS).option("lineSep", "\n").text(path)
+    marked(pages, least).select("page_id", "url", "html", "refers_to").mapInPandas(run, "value string").write.options(maxRecordsPerFile=ROWS, lineSep="\n", compression="gzip", **{"zlib.compress.level": "BEST_SPEED"}).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -143,14 +144,14 @@ def read_segments(spark: SparkSession, path: str, id_type: str = "long") -> Data
         for b in batches:
             for data in b["content"]:
                 rows = []
-                for h, block in parse(bytes(data)):
+                for h, block in parse(gzip.decompress(data)):
                     page, refers = h.get("WARC-Page-ID"), h.get("WARC-Refers-To-Page-ID")
                     total = h.get("WARC-Segment-Total-Length")
                     rows.append((h.get("WARC-Segment-Origin-ID") or h["WARC-Record-ID"], int(h.get("WARC-Segment-Number") or 1), total and int(total), h["WARC-Type"], page, h.get("WARC-Target-URI"), (h.get("WARC-Payload-Digest") or "sha1:")[5:] or None, refers, "WARC-Segment-Number" in h, block))
                 for lo in range(0, len(rows), ROWS):
                     yield pd.DataFrame(rows[lo : lo + ROWS], columns=["origin", "number", "total", "kind", "page", "url", "digest", "refers", "split", "block"]).astype({"total": "Int64"})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
     return files.mapInPandas(run, "origin string, number int, total long, kind string, page string, url string, digest string, refers string, split boolean, block binary")
 
 
