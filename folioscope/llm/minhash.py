@@ -18,8 +18,8 @@ SMALL = 32
 HUBS = 2
 
 
-def _key(words: list[str]) -> bytes:
-    return hashlib.blake2b(" ".join(words).encode("utf-8"), digest_size=16).digest()
+def _key(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
 def signatures(docs: DataFrame, bands: int, rows: int, width: int) -> DataFrame:

@@ -2,15 +2,9 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import xxhash
 
-from .common import UPPER, WORD
-
-LOWER = str.maketrans(UPPER, UPPER.lower())
-FIND = re.compile(WORD).findall
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 STEPS = np.arange(1, 1025, dtype=np.uint64) * ODD[0]
 #: Elements that a block of the signature's permutation table holds.
@@ -20,7 +14,7 @@ BLOCK = 1 << 18
 class WordHash(dict):
     """word -> 64-bit hash; emptied when full."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
         if len(self) >= 500_000:
             self.clear()
@@ -37,11 +31,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_list(text: str) -> list[str]:
-    return FIND(text.translate(LOWER) if not text.isascii() else text.lower())
+def word_list(text: str) -> list[bytes]:
+    """Words in UTF-8 after lower-casing A-Z: of bytes, lower() and split() know ASCII alone, so they do just that."""
+    return text.encode("utf-8").lower().split()
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
+def word_hashes(words: list) -> np.ndarray:
     return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
 
 
@@ -57,7 +52,7 @@ def windows(h: np.ndarray, width: int = 5) -> np.ndarray:
     return out
 
 
-def shingle_set(words: list[str], width: int = 5) -> np.ndarray:
+def shingle_set(words: list, width: int = 5) -> np.ndarray:
     return np.unique(windows(word_hashes(words), width))
 
 

@@ -17,6 +17,7 @@ from .shingles import ODD, mix, windows, word_hashes, word_list
 REACH = 6
 #: Words that a paragraph has at most.
 LONGEST = 64
+TOP = np.uint64(2**64 - 1)
 
 
 def paragraphs(h: np.ndarray, reach: int = REACH, longest: int = LONGEST) -> np.ndarray:
@@ -26,9 +27,12 @@ def paragraphs(h: np.ndarray, reach: int = REACH, longest: int = LONGEST) -> np.
     if n < 2 * reach + 2:
         return np.zeros(min(n, 1), np.int64)
     g = mix(h[:-1] * ODD[3] + h[1:])
-    near = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(reach, np.uint64(2**64 - 1)), g, np.full(reach, np.uint64(2**64 - 1))]), 2 * reach + 1)
-    low = near.min(1)
-    cuts = np.flatnonzero((g == low) & ((near == low[:, None]).sum(1) == 1)) + 1
+    low, k = np.concatenate([np.full(reach, TOP), g, np.full(reach, TOP)]), 1
+    while k < reach:  # low[i] becomes the least of `reach` values from i on, by doubling
+        step = min(k, reach - k)
+        low = np.minimum(low[:-step], low[step:])
+        k += step
+    cuts = np.flatnonzero((g < low[: n - 1]) & (g < low[reach + 1 : reach + n])) + 1
     cuts = cuts[(cuts >= reach) & (cuts <= n - reach)]
     starts = np.concatenate([[0], cuts])
     gaps = np.diff(np.append(starts, n))
@@ -101,9 +105,14 @@ def class_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for text, spans, classes in zip(b["text"], b["spans"], b["classes"], strict=True):
-                starts, _, content, _, w, bounds = described(text, 1, width)
-                at = np.searchsorted(starts, np.asarray(spans) >> 7)
-                rows = [(c, np.unique(w[bounds[s, 0] : bounds[s, 1]]).view(np.int64)) for s, c in zip(at, classes, strict=True) if s < len(content) and content[s] == c]
+                h = word_hashes(word_list(text))
+                w, rows = windows(h, width), []
+                for span, c in zip(spans, classes, strict=True):
+                    lo, n = span >> 7, span & 127
+                    own = h[lo : lo + n]
+                    if mix(mix(own + np.arange(len(own), dtype=np.uint64) * ODD[4]).sum() + np.uint64(n)).view(np.int64) == c:
+                        lo = min(lo, len(w) - 1)
+                        rows.append((c, np.unique(w[lo : max(lo + n - width + 1, lo + 1)]).view(np.int64)))
                 if rows:
                     yield pd.DataFrame(rows, columns=["cls", "shingles"])
 
