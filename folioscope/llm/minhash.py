@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from .common import components, cut, settle, table
 from .shingles import band_keys, shingle_set, superminhash, word_list
 
-#: Buckets of up to so many classes give all their pairs; larger ones compare with hubs, again while that finds links.
+#: Buckets of up to so many classes give all their pairs; larger ones compare with hubs, again while that finds links,
+#: then classes of different components exactly (rare_pairs).
 SMALL = 32
 HUBS = 2
 
@@ -60,6 +61,24 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b").where(100 * both >= percent * union).select("a", "b")
 
 
+def rare_pairs(named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of unlike labels, among them every one at `percent` or more: a prefix filter, which loses
+    nothing. Elements have one order, rarest first, so texts that share a template alone seldom meet. Of a pair to be
+    found, the first common element has the rest of both sets for the intersection, which bounds its place: (100 +
+    percent) * (n - place) >= percent * (n of one + n of the other), and that is 2 * percent * n at least for the smaller
+    set. Elements of one set alone take their places and are not joined. named: (cls, label), one row per class."""
+    of = named.join(sets, "cls").select("cls", "label", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("x"))
+    shared = of.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    held = of.join(shared, "x").groupBy("cls", "label", "n").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("held"))
+    placed = held.select("cls", "label", "n", F.size("held").alias("k"), F.posexplode("held").alias("at", "e")).select("cls", "label", "n", (F.col("k") - F.col("at")).cast("long").alias("left"), F.col("e.x").alias("x"))
+    prefix = settle(placed.where(100 * F.col("left") >= percent * F.col("n")))
+    x, y = prefix.where((100 + percent) * F.col("left") >= 2 * percent * F.col("n")).alias("x"), prefix.alias("y")
+    smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls")))
+    enough = (100 + percent) * F.least("x.left", "y.left") >= percent * (F.col("x.n") + F.col("y.n"))
+    found = x.join(y, (F.col("x.x") == F.col("y.x")) & smaller & enough & (F.col("x.label") != F.col("y.label")))
+    return found.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
+
+
 def hubs(members: DataFrame, salt: int = 0) -> DataFrame:
     """(h, hub, hub_label): the HUBS classes of each bucket that collide most, one from each of as many slices by hash.
     Maxima are partial, so no task holds a bucket. members: (h, cls, score, label)."""
@@ -77,7 +96,9 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int =
     SuperMinHash signature (bands * rows slots; a link at exactly 0.85 is missed with probability 5e-5) are candidates:
     all pairs in buckets of up to 32 classes, so at most 16 pairs a row; in larger buckets every class with two hubs,
     the classes that collide most. Candidates are confirmed on full sets. Then, as long as that finds links, large
-    buckets which still hold several components compare with new hubs from outside their main component. component_id is the smallest id reachable, kept whether it is the row's own.
+    buckets which still hold several components compare with new hubs from outside their main component. At last the
+    classes of buckets that hold several components even so are compared exactly across these (rare_pairs), so no pair
+    of a bucket is left out. component_id is the smallest id reachable, kept whether it is the row's own.
 
     Null and empty texts and texts without words have the empty set and link with nothing: their component is their
     own id. Repeated rows repeat their result; an id that has several texts links if one of them does; a null id is
@@ -112,6 +133,11 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int =
             break
         links = links.union(more)
         label = components(links.toDF("src", "dst"))
+    apart = settle(rest.select("cls", "label").distinct())
+    if not apart.isEmpty():
+        more = settle(verify(rare_pairs(apart, sets, percent), sets, percent))
+        if not more.isEmpty():
+            label = components(links.union(more).toDF("src", "dst"))
     of_key = classes.select("key", "cls").join(label.withColumnRenamed("id", "cls"), "cls", "left").select("key", F.coalesce("label", "cls").alias("label"))
     out = signed.select("doc_id", "key", "n_shingles").join(of_key, "key", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -46,6 +46,17 @@ def test_chains_and_large_buckets(spark):
     check(near_dedup(spark.createDataFrame(list(texts.items()), SCHEMA)), texts)
 
 
+def test_pairs_inside_a_template(spark):
+    """Texts of one template collide without links; the few true pairs among them meet in large buckets alone."""
+    r = random.Random(4)
+    base, texts = [f"t{k}" for k in range(304)], {}
+    for i in range(120):
+        both = [f"p{i // 2}a", f"p{i // 2}b"] if i < 40 else []  # 302 of 354 shingles; the others have 300 of 356
+        texts[i] = " ".join(base + both + [f"u{i}x{r.randrange(9999)}" for _ in range(28 - len(both))])
+    assert len(set(near_components(texts)[1].values())) == 100
+    check(near_dedup(spark.createDataFrame(list(texts.items()), SCHEMA)), texts)
+
+
 def test_odd_rows(spark):
     long = " ".join(f"v{i % 977}a{i % 31}" for i in range(60_000))
     texts = {1: None, 2: "", 3: " \n\t", 4: "one two", 5: "ONE  two", 6: "one two three four five six", 7: long, 8: long + " end", 9: "Été a b c d e", 10: "été a b c d e"}
