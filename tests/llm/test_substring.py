@@ -46,6 +46,16 @@ def test_planted_passages(spark):
         assert len(gone - shared) <= 30
 
 
+def test_pairs_inside_a_frequent_phrase(spark):
+    """Paragraphs of 13 words, 9 of them the same in all; pairs that share 12 have 8 of 10 shingles in common."""
+    rows = []
+    for i in range(60):
+        own = [f"c{k}" for k in range(9)] + [f"p{i}x{k}" for k in range(3)]
+        rows += [(2 * i, " ".join(own + [f"a{i}"])), (2 * i + 1, " ".join(own + [f"b{i}"]))]
+    got = repeated_spans(spark.createDataFrame(rows, SCHEMA), least=10).collect()
+    assert sorted((s["doc_id"], s["start"], s["n_words"], s["first_doc_id"]) for s in got) == [(2 * i + 1, 0, 13, 2 * i) for i in range(60)]
+
+
 def test_whole_table_spans_are_in_their_documents(spark, sf_dir):
     texts = {r[0]: words(lower(r[1])) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
     spans = op2_substring_dedup(spark, sf_dir).collect()
