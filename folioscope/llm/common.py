@@ -73,6 +73,20 @@ def settle(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return done.coalesce(max(1, -(-done.count() // rows)))
 
 
+def keyed(docs: DataFrame, key: str) -> DataFrame:
+    """docs with a key that is never null: doc_id, or for each row without one a value of its own above all ids."""
+    without = docs.where("doc_id is null")
+    own = F.col("doc_id") if docs.schema["doc_id"].dataType.simpleString() == "string" else F.col("doc_id").cast("long")
+    if without.isEmpty():
+        return docs.withColumn(key, own)
+    top, number = docs.agg(F.max("doc_id")).first()[0], F.monotonically_increasing_id()
+    if docs.schema["doc_id"].dataType.simpleString() == "string":
+        above = F.concat(F.lit(top or ""), F.lpad(number.cast("string"), 20, "0"))
+    else:
+        above = F.lit(top or 0).cast("long") + 1 + number
+    return docs.where("doc_id is not null").withColumn(key, own).union(cut(without.withColumn(key, above)))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Smallest vertex reachable from every vertex of undirected edges (src, dst).
 

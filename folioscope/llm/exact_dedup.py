@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, table
+from .common import ascii_lower, cut, keyed, table
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
@@ -52,6 +52,8 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of equal texts the document with the smallest doc_id stays; columns are those of docs."""
-    kept = exact_dedup(docs.select("doc_id", "text"), keep="min").where("kept").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(docs.columns)
+    """Pipeline stage: of equal texts the document with the smallest doc_id stays; columns are those of docs. A row
+    without a doc_id goes only if a row with one, or another without, stays for its text."""
+    rows = keyed(docs, "_key")
+    kept = exact_dedup(rows.select("_key", "text"), id_col="_key", keep="min").where("kept").select("_key")
+    return rows.join(kept.distinct(), "_key", "left_semi").select(docs.columns)

@@ -28,3 +28,17 @@ def test_stages(spark, sf_dir):
     pieces = corpus_pipeline.run(spark, sf_dir).collect()
     assert {r["doc_id"] for r in pieces} == set(kept["near_dedup"])
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "exact_dedup", "near_dedup", "secret_scan", "packing"]
+
+
+def test_rows_without_an_id(spark):
+    """Of a text's rows without an id one stays if no row with an id has the text; near copies likewise."""
+    text = {x: [f"{x}{i}" for i in range(100)] for x in "abcd"}
+    near = " ".join([*text["a"][:-1], "end"])
+    lone, twin, base = " ".join(text["b"]), " ".join(text["c"]), " ".join(text["a"])
+    rows = [(1, base, "a"), (None, base, "b"), (None, near, "c"), (None, lone, "d"), (None, lone.upper(), "d"), (None, twin, "e"), (7, twin, "f"), (None, " ".join(text["d"]), "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    stages = dict(corpus_pipeline.STAGES)
+    exact = stages["exact_dedup"](spark, docs, "")
+    assert exact.columns == docs.columns and sorted((str(r[0]), r[2]) for r in exact.collect()) == [("1", "a"), ("7", "f"), ("None", "c"), ("None", "d"), ("None", "g")]
+    for given in (docs, exact):
+        assert sorted((str(r[0]), r[2]) for r in stages["near_dedup"](spark, given, "").collect()) == [("1", "a"), ("7", "f"), ("None", "d"), ("None", "g")]
