@@ -18,14 +18,20 @@ DICTIONARY = (
     "local|lib|python|java|node|module|src|main|index|file|path|data|config|factory|service|manager|build|version|release|http|www|"
     "com|org|html|image|content|page|list|item|time|date|number|string|type|class|public|private|static|return|import|export"
 )
-#: A candidate: a private key's header, or a run of token characters that starts after none of them and has a digit,
-#: 16 long at least, or 8 long where a key word, a sign and perhaps a quote stand before it. A sign of equality ends a
-#: name and may pad a value, so it never lies within one.
+#: A candidate: a private key from its BEGIN to its END line; a run of token characters that starts after none of them
+#: and has a digit, 16 long at least; or 8 characters at least after a name that ends in a key word or in one more part
+#: (client_secret, DB_PASSWORD, SECRET_KEY), a sign and perhaps a quote. A sign of equality ends a name and may pad a
+#: value, so it never lies within one. The short look behind comes first, as the long one tries every length.
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----|\bA[KS]IA[A-Z0-9]{16}\b"
-    r"|(?<![A-Za-z0-9+/_~-])(?=[A-Za-z+/_~-]{0,120}[0-9])[A-Za-z0-9+/_~-]{16,}={0,2}"
-    rf"|(?i)(?<=\b(?:{KEYWORDS})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)(?-i)[^\s\"'<>]{{8,}}"
+    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[^-]*+-----END [A-Z ]{0,30}PRIVATE KEY-----)?|\bA[KS]IA[A-Z0-9]{16}\b"
+    r"|(?<![A-Za-z0-9+/_~-])(?=[A-Za-z+/_~-]*+[0-9])[A-Za-z0-9+/_~-]{16,}={0,2}"
+    rf"|(?<=[:=\s\"'])(?<=[:=]\s{{0,3}}[\"']?)(?i)(?<=(?:{KEYWORDS})(?:[_-][a-z]{{1,10}})?[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)(?-i)[^\s\"'<>]{{8,}}"
 )
+#: Candidates are 8 characters long at least, so that many of them lie within REACH characters at most.
+REACH = 40
+NEAR = REACH // 8 + 1
+#: Candidates whose lengths are summed one by one; more are summed by block.
+BLOCK = 256
 FEATURES = ("length", "transitions", "digits", "uppers", "alphabet", "dictionary", "hex", "prefix", "path", "near_key", "near_negative", "assigned", "repeats")
 
 
@@ -58,7 +64,7 @@ def labelled_findings(n: int = 3000, seed: int = 5) -> list[tuple[int, str, str,
     letters = "abcdefghijklmnopqrstuvwxyz"
     some = lambda chars, k: "".join(r.choice(chars) for _ in range(k))
     text = lambda: " ".join(some(letters, r.randint(2, 9)) for _ in range(4)) + " "
-    key = lambda: r.choice(["token", "secret", "api_key", "password", "access_key", "auth", "API-KEY", "client_secret", "pwd"]) + r.choice([" = ", "=", ": ", ":"]) + r.choice(['"', "'", ""])
+    key = lambda: r.choice(["token", "secret", "api_key", "password", "access_key", "auth", "API-KEY", "client_secret", "pwd", "DB_PASSWORD", "AUTH_TOKEN", "SECRET_KEY"]) + r.choice([" = ", "=", ": ", ":"]) + r.choice(['"', "'", ""])
     good = [
         lambda: (some(hexes, r.choice([32, 40, 64, 48, 36])), text() + key()),
         lambda: (some(hexes, r.randint(10, 30)), text() + key()),
@@ -67,7 +73,7 @@ def labelled_findings(n: int = 3000, seed: int = 5) -> list[tuple[int, str, str,
         lambda: (r.choice(["ghp_", "gho_", "ghs_", "sk-", "sk_", "glpat-"]) + some(b64[:62], r.randint(24, 40)), text() + r.choice(["", key(), "bearer "])),
         lambda: ("xoxb-" + some("0123456789", 11) + "-" + some(b64[:62], 24), text()),
         lambda: ("eyJ" + some(b64[:62], 30) + "_" + some(b64[:62], 40), text() + r.choice(["bearer ", "", key()])),
-        lambda: ("-----BEGIN " + r.choice(["RSA ", "EC ", "OPENSSH ", ""]) + "PRIVATE KEY-----", text()),
+        lambda: ("-----BEGIN " + (kind := r.choice(["RSA ", "EC ", "OPENSSH ", ""])) + "PRIVATE KEY-----" + r.choice(["", "\n" + some(b64, r.randint(64, 800)) + "\n-----END " + kind + "PRIVATE KEY-----"]), text()),
         lambda: (some(letters, 4) + some("0123456789", 3) + some("!#%&*", 2) + some(letters.upper(), 3), text() + r.choice(["password = ", 'pwd: "', "passwd="])),
     ]
     bad = [
@@ -150,30 +156,43 @@ def train(spark: SparkSession, findings: list | None = None) -> list:
     return _forest_of(tuple(sorted(tuple(r) for r in got)))
 
 
-def findings_column(text: Column, source: Column, forest: list, reach: int = 40) -> Column:
-    """Array of candidates in text order: (start, value, score), start in code points from 0."""
+def starts(parts: Column, own: Column) -> Column:
+    """Where each candidate starts: running sums of the lengths of what lies between (parts) and of candidates (own). Sums
+    within blocks and sums of whole blocks, so the cost is in proportion to the number of candidates."""
+    total = lambda x: F.aggregate(x, F.lit(0), lambda a, v: a + v)
+    every = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    lengths = F.transform(own, lambda v, i: F.length(v) + F.length(F.get(parts, i)))
+
+    def of(x: Column) -> Column:
+        sums = F.transform(every(F.ceil(F.size(x) / BLOCK).cast("int")), lambda b: total(F.slice(x, b * BLOCK + 1, BLOCK)))
+        before = let(sums, lambda s: F.transform(s, lambda _, b: total(F.slice(s, 1, b))))
+        return let(before, lambda c: F.transform(x, lambda _, i: F.get(c, F.floor(i / BLOCK).cast("int")) + total(F.slice(x, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK)) + F.length(F.get(parts, i))))
+
+    return let(lengths, of)
+
+
+def findings_column(text: Column, source: Column, forest: list) -> Column:
+    """Array of candidates in text order: (start, value, score), start in code points from 0. A candidate's neighbours are
+    put together from the pieces next to it, never cut out of the whole text."""
 
     def of(t: Column) -> Column:
         between = F.split(t, CANDIDATE)
         found = F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))
 
         def placed(parts: Column, own: Column) -> Column:
-            starts = F.transform(own, lambda v, i: F.aggregate(F.slice(parts, 1, i + 1), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice(own, 1, i), F.lit(0), lambda a, x: a + F.length(x)))
-            return F.transform(
-                F.arrays_zip(own.alias("value"), starts.alias("start")),
-                lambda m: F.struct(
-                    m["start"].alias("start"), m["value"].alias("value"),
-                    F.substring(t, F.greatest(m["start"] - reach + 1, F.lit(1)), F.least(m["start"], F.lit(reach))).alias("left"),
-                    F.substring(t, m["start"] + F.length(m["value"]) + 1, F.lit(reach)).alias("right"),
-                ),
-            )
+            tails = F.transform(own, lambda v, i: F.struct(F.right(F.get(parts, i), F.lit(REACH)).alias("p"), F.right(v, F.lit(REACH)).alias("v")))
+            heads = F.transform(own, lambda v, i: F.struct(F.left(v, F.lit(REACH)).alias("v"), F.left(F.get(parts, i + 1), F.lit(REACH)).alias("p")))
+            text_of = lambda x, *names: F.array_join(F.transform(x, lambda e: F.concat(*[e[n] for n in names])), "")
+            left = lambda a, i: F.concat(text_of(F.slice(a, F.greatest(i - NEAR + 1, F.lit(1)), F.least(i, F.lit(NEAR))), "p", "v"), F.get(a, i)["p"])
+            right = lambda b, i: F.concat(F.get(b, i)["p"], text_of(F.slice(b, i + 2, NEAR), "v", "p"))
+            return let(starts(parts, own), lambda at: let(tails, lambda a: let(heads, lambda b: F.transform(own, lambda v, i: F.struct(
+                F.get(at, i).alias("start"), v.alias("value"), F.right(left(a, i), F.lit(REACH)).alias("left"), F.left(right(b, i), F.lit(REACH)).alias("right"),
+            )))))
 
         return let(between, lambda parts: let(found, lambda own: placed(parts, own)))
 
-    placed = of(text)
-    numbers = F.transform(placed, lambda m: F.struct(m["start"].alias("start"), m["value"].alias("value"), *[v.cast("double").alias(k) for k, v in features(m["value"], m["left"], m["right"], source).items()]))
-    scored = F.transform(numbers, lambda m: F.struct(m["start"].alias("start"), m["value"].alias("value"), vote(forest, {k: m[k] for k in FEATURES}).alias("score")))
-    return F.when(text.rlike(CANDIDATE), scored)
+    numbers = F.transform(of(text), lambda m: F.struct(m["start"].alias("start"), m["value"].alias("value"), *[v.cast("double").alias(k) for k, v in features(m["value"], m["left"], m["right"], source).items()]))
+    return F.transform(numbers, lambda m: F.struct(m["start"].alias("start"), m["value"].alias("value"), vote(forest, {k: m[k] for k in FEATURES}).alias("score")))
 
 
 def scan(docs: DataFrame, forest: list, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", source_col: str | None = "source") -> DataFrame:
@@ -194,17 +213,10 @@ def scan(docs: DataFrame, forest: list, threshold: float = 0.5, id_col: str = "d
 def redact(docs: DataFrame, forest: list, threshold: float = 0.5, mask: str = "[SECRET]", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """docs with each secret replaced by mask; everything else, null texts too, stays as it is."""
     source = F.coalesce(F.col(source_col), F.lit("")) if source_col in docs.columns else F.lit("")
-    found = F.filter(findings_column(F.col(text_col), source, forest), lambda m: m["score"] >= threshold)
     text = F.col(text_col)
-    joined = let(
-        F.coalesce(found, F.array().cast("array<struct<start:int,value:string,score:double>>")),
-        lambda s: F.concat(
-            F.array_join(F.transform(s, lambda m, i: F.concat(
-                F.substring(text, F.coalesce(F.get(s, i - 1)["start"] + F.length(F.get(s, i - 1)["value"]), F.lit(0)) + 1,
-                            m["start"] - F.coalesce(F.get(s, i - 1)["start"] + F.length(F.get(s, i - 1)["value"]), F.lit(0))), F.lit(mask))), ""),
-            F.substring(text, F.coalesce(F.get(s, F.size(s) - 1)["start"] + F.length(F.get(s, F.size(s) - 1)["value"]), F.lit(0)) + 1, F.length(text)),
-        ),
-    )
+    between = F.split(text, CANDIDATE)
+    shown = F.transform(findings_column(text, source, forest), lambda m: F.when(m["score"] >= threshold, F.lit(mask)).otherwise(m["value"]))
+    joined = let(shown, lambda s: let(between, lambda p: F.array_join(F.transform(p, lambda x, i: F.concat(x, F.coalesce(F.get(s, i), F.lit("")))), "")))
     return docs.withColumn(text_col, F.when(text.rlike(CANDIDATE), joined).otherwise(text)).select(docs.columns)
 
 
