@@ -12,15 +12,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, table
+from .common import cut, scratch, table
 
 #: Bytes that a record's block has at most; longer blocks go on in continuation records.
-SEGMENT = 1 << 16
+SEGMENT = 1 << 13
 #: Bytes of one chunk of the transfer framing.
-CHUNK = 1 << 13
+CHUNK = 1 << 12
 #: Rows in one archive file, so that a reader never holds more than this many records at once.
 ROWS = 512
-SCHEMA = "page_id {id}, url string, payload string, digest string, kind string, refers_to {id}"
+#: Bytes of blocks that a reader hands on at once.
+HELD = 1 << 23
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -47,12 +48,13 @@ def record_id(*parts: object) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, '/'.join(map(str, parts)))}>"
 
 
-def records(page: object, url: str, payload: bytes, digest: str, refers: object, segment: int, chunk: int) -> Iterator[bytes]:
-    """A revisit record, or a response whose block is cut into an origin and its continuations."""
-    own = [("WARC-Record-ID", record_id("page", page)), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", url), ("WARC-Page-ID", "" if page is None else page), ("WARC-Payload-Digest", f"sha1:{digest}")]
+def records(row: object, page: object, url: str, payload: bytes, digest: str, lead: object, refers: object, segment: int, chunk: int) -> Iterator[bytes]:
+    """A revisit record if there is a leading row, or a response whose block is cut into an origin and its continuations.
+    row and lead tell rows apart; page and refers are the pages' own ids, which may repeat or be missing."""
+    own = [("WARC-Record-ID", record_id("row", row)), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", url), ("WARC-Page-ID", "" if page is None else page), ("WARC-Payload-Digest", f"sha1:{digest}")]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-    if refers is not None:
-        profile = [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id("page", refers)), ("WARC-Refers-To-Page-ID", refers)]
+    if lead is not None:
+        profile = [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id("row", lead)), ("WARC-Refers-To-Page-ID", refers)]
         yield record("revisit", [*own, *profile, ("Content-Type", "application/http; msgtype=response")], http + b"\r\n")
         return
     body = b"".join(b"%x\r\n%s\r\n" % (len(c), c) for c in slices(payload, chunk)) + b"0\r\n\r\n"
@@ -63,38 +65,41 @@ def records(page: object, url: str, payload: bytes, digest: str, refers: object,
         first.append(("WARC-Segment-Number", 1))
     yield record("response", first, parts[0])
     for k, part in enumerate(parts[1:], 2):
-        more = [("WARC-Record-ID", record_id("page", page, k)), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", url), ("WARC-Segment-Origin-ID", own[0][1]), ("WARC-Segment-Number", k)]
+        more = [("WARC-Record-ID", record_id("row", row, k)), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", url), ("WARC-Segment-Origin-ID", own[0][1]), ("WARC-Segment-Number", k)]
         if k == len(parts):
             more.append(("WARC-Segment-Total-Length", len(block)))
         yield record("continuation", more, part)
 
 
 def marked(pages: DataFrame, least: int = 0) -> DataFrame:
-    """(page_id, url, html, refers_to): of equal payloads of at least `least` bytes the largest page_id is the response."""
-    one = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    key = [F.sha2("html", 256).alias("sha"), F.octet_length("html").alias("n")]
-    lead = one.select("page_id", *key).where(F.col("n") >= least).groupBy("sha", "n").agg(F.max("page_id").alias("lead"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
-    with_key = one.select("page_id", *key).join(lead, ["sha", "n"]).where("page_id <> lead").select("page_id", F.col("lead").alias("refers_to")).distinct()
-    return one.join(with_key, "page_id", "left")
+    """(row, page_id, url, html, lead, refers_to): of equal payloads of at least `least` bytes the largest page_id is the
+    response. lead is that response's row and refers_to its page_id, for rows of other pages. row is a number of the row
+    itself, by its place in the input, as page_ids may repeat or be missing; rows of the largest page_id are all responses."""
+    one = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
+    keyed = one.select("row", "page_id", F.sha2("html", 256).alias("sha"), F.octet_length("html").alias("n")).where(F.col("n") >= least)
+    lead = keyed.groupBy("sha", "n").agg(F.max(F.struct("page_id", "row")).alias("x"), F.count(F.lit(1)).alias("copies")).where("copies > 1 and x.page_id is not null").select("sha", "n", F.col("x.row").alias("lead"), F.col("x.page_id").alias("refers_to"))
+    others = keyed.join(lead, ["sha", "n"]).where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("row", "lead", "refers_to")
+    return one.join(others, "row", "left")
 
 
 def write_warc(pages: DataFrame, path: str, least: int = 0, segment: int = SEGMENT, chunk: int = CHUNK) -> None:
     """Gzipped archives under path, written by Spark's own writer, so to any file system that it knows. UTF-8 payloads and
     ASCII headers are text; a record's last line feed is the writer's line separator."""
+    whole = lambda v: None if pd.isna(v) else int(v) if isinstance(v, float) else v
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for page, url, html, refers in b.itertuples(index=False):
+            for row, page, url, html, lead, refers in b.itertuples(index=False):
                 payload = html.encode("utf-8")
                 clean = "".join(c for c in url if c not in "\r\n")
-                refers = None if pd.isna(refers) else int(refers) if isinstance(refers, float) else refers
-                page = None if pd.isna(page) else int(page) if isinstance(page, float) else page
-                got = b"".join(records(page, clean, payload, base32_sha1(payload), refers, segment, chunk))
+                got = b"".join(records(row, whole(page), clean, payload, base32_sha1(payload), whole(lead), whole(refers), segment, chunk))
                 out.append(got.decode("utf-8")[:-1])
             yield pd.DataFrame({"value": out})
 
-    marked(pages, least).select("page_id", "url", "html", "refers_to").mapInPandas(run, "value string").write.options(maxRecordsPerFile=ROWS, lineSep="\n", compression="gzip", **{"zlib.compress.level": "BEST_SPEED"}).text(path)
+    # Ids as text: a column of numbers with gaps would become one of floats on the way.
+    rows = marked(pages, least).select("row", F.col("page_id").cast("string"), "url", "html", F.col("lead").cast("string"), F.col("refers_to").cast("string"))
+    rows.mapInPandas(run, "value string").write.options(maxRecordsPerFile=ROWS, lineSep="\n", compression="gzip", **{"zlib.compress.level": "BEST_SPEED"}).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -137,32 +142,39 @@ def payload_of(block: bytes) -> bytes:
     return unchunk(body) if b"transfer-encoding: chunked" in head.lower() else body
 
 
-def read_segments(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
-    """Every record: (origin, number, total, kind, page_id, url, digest, refers_to, block)."""
+def read_segments(spark: SparkSession, path: str) -> DataFrame:
+    """Every record: (origin, number, total, kind, page, url, digest, refers, refers_id, split, block); refers_id and, of what
+    is no continuation, origin are record identifiers."""
+    columns = ["origin", "number", "total", "kind", "page", "url", "digest", "refers", "refers_id", "split", "block"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for data in b["content"]:
-                rows = []
+                rows, held = [], 0
                 for h, block in parse(gzip.decompress(data)):
-                    page, refers = h.get("WARC-Page-ID"), h.get("WARC-Refers-To-Page-ID")
                     total = h.get("WARC-Segment-Total-Length")
-                    rows.append((h.get("WARC-Segment-Origin-ID") or h["WARC-Record-ID"], int(h.get("WARC-Segment-Number") or 1), total and int(total), h["WARC-Type"], page, h.get("WARC-Target-URI"), (h.get("WARC-Payload-Digest") or "sha1:")[5:] or None, refers, "WARC-Segment-Number" in h, block))
-                for lo in range(0, len(rows), ROWS):
-                    yield pd.DataFrame(rows[lo : lo + ROWS], columns=["origin", "number", "total", "kind", "page", "url", "digest", "refers", "split", "block"]).astype({"total": "Int64"})
+                    rows.append((h.get("WARC-Segment-Origin-ID") or h["WARC-Record-ID"], int(h.get("WARC-Segment-Number") or 1), total and int(total), h["WARC-Type"], h.get("WARC-Page-ID"), h.get("WARC-Target-URI"), (h.get("WARC-Payload-Digest") or "sha1:")[5:] or None, h.get("WARC-Refers-To-Page-ID"), h.get("WARC-Refers-To"), "WARC-Segment-Number" in h, block))
+                    held += len(block)
+                    if held >= HELD:
+                        yield pd.DataFrame(rows, columns=columns).astype({"total": "Int64"})
+                        rows, held = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=columns).astype({"total": "Int64"})
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
-    return files.mapInPandas(run, "origin string, number int, total long, kind string, page string, url string, digest string, refers string, split boolean, block binary")
+    return files.mapInPandas(run, "origin string, number int, total long, kind string, page string, url string, digest string, refers string, refers_id string, split boolean, block binary")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(page, url, kind, digest, refers, payload) per logical record; page and refers as text.
+    """(id, page, url, kind, digest, refers, refers_id, payload) per logical record; page and refers as text, id and refers_id
+    record identifiers.
 
     Records that stand alone are decoded where they are read. Only segmented ones are grouped by their origin's
-    identifier; a group is one page's payload. Missing segments, a wrong total, a cut-off chunk or a wrong digest
+    identifier; a group is one row's payload. Missing segments, a wrong total, a cut-off chunk or a wrong digest
     raise an error.
     """
     got = read_segments(spark, path)
+    columns = ["id", "page", "url", "kind", "digest", "refers", "refers_id"]
 
     def check(payload: bytes, digest: str) -> bytes:
         if base32_sha1(payload) != digest:
@@ -171,34 +183,43 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = b[["page", "url", "kind", "digest", "refers"]].copy()
+            out = b.rename(columns={"origin": "id"})[columns].copy()
             out["payload"] = [check(payload_of(x), d) if k == "response" else None for x, k, d in zip(b["block"], b["kind"], b["digest"], strict=True)]
             yield out
 
     def together(g: pd.DataFrame) -> pd.DataFrame:
         totals = [int(t) for t in g["total"] if not pd.isna(t)]
-        first = g[g["number"] == 1].drop_duplicates("number")
-        if first.empty:
-            raise ValueError("segments are missing")
-        block = assemble(list({int(n): bytes(x) for n, x in zip(g["number"], g["block"], strict=True)}.items()), totals[0] if totals else None)
-        return first[["page", "url", "kind", "digest", "refers"]].assign(payload=[check(payload_of(block), first["digest"].iloc[0])])
+        first = g[g["number"] == 1].rename(columns={"origin": "id"})
+        if len(first) != 1:
+            raise ValueError("segments are missing" if first.empty else "segments are repeated")
+        block = assemble([(int(n), bytes(x)) for n, x in zip(g["number"], g["block"], strict=True)], totals[0] if totals else None)
+        return first[columns].assign(payload=[check(payload_of(block), first["digest"].iloc[0])])
 
-    schema = "page string, url string, kind string, digest string, refers string, payload binary"
+    schema = "id string, page string, url string, kind string, digest string, refers string, refers_id string, payload binary"
     return got.where("not split").mapInPandas(alone, schema).unionByName(got.where("split").groupBy("origin").applyInPandas(together, schema))
 
 
+def archived(spark: SparkSession, pages: DataFrame, path: str, least: int = 0, segment: int = SEGMENT, chunk: int = CHUNK) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of pages written to path and read back.
+
+    One row for each row of pages, also for repeated rows, ids with several payloads and null ids. Null urls and htmls
+    count as empty. Of equal payloads rows of other pages, null ids too, revisit the largest page_id; where all ids are
+    null, all are responses. Other columns are ignored; an empty table gives no rows.
+    """
+    write_warc(pages, path, least, segment, chunk)
+    kind = pages.schema["page_id"].dataType.simpleString()
+    got = cut(read_warc(spark, path).select(
+        "id", F.when(F.col("page") != "", F.col("page")).try_cast(kind).alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), F.col("refers").try_cast(kind).alias("refers_to"), "refers_id"
+    ))
+    out = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    lead = got.where("record_type = 'response'").select(F.col("id").alias("refers_id"), F.col("payload_bytes").alias("n"))
+    again = got.where("record_type = 'revisit'").join(lead, "refers_id", "left").withColumn("payload_bytes", F.col("n"))
+    return got.where("record_type = 'response'").select(out).unionByName(again.select(out))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as WARC archives to the shared folder and read back. Null urls and htmls count as empty; an empty
-    table gives no rows. Repeated page_ids with one payload are equal records."""
-    pages = table(spark, sf_dir, "pages")
-    path = scratch(spark, "warc")
-    write_warc(pages, path)
-    got = read_warc(spark, path).select(
-        F.col("page").try_cast("long").alias("page_id"), F.octet_length("payload").cast("long").alias("n"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), F.col("refers").try_cast("long").alias("refers_to")
-    )
-    lead = got.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("n").alias("m")).distinct()
-    out = got.join(lead, "refers_to", "left").select("page_id", F.coalesce("n", "m").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
-    return out
+    """Pages written as WARC archives to the shared folder and read back; see archived()."""
+    return archived(spark, table(spark, sf_dir, "pages"), scratch(spark, "warc"))
 
 
 OP6_SQL = """

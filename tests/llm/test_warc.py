@@ -8,7 +8,6 @@ import hashlib
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from compare import duck_rows, spark_rows
 from folioscope.llm import warc as W
@@ -38,6 +37,14 @@ def test_round_trip_of_odd_pages(spark):
     assert {r[0] for r in kinds} == {"response", "revisit", "continuation"}
 
 
+def test_pages_of_the_table_are_segmented(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    path = scratch(spark, "warc-test")
+    W.write_warc(pages, path)
+    kinds = dict(W.read_segments(spark, path).groupBy("kind").count().collect())
+    assert kinds["continuation"] > 0 and kinds["response"] + kinds.get("revisit", 0) == pages.count()
+
+
 def test_empty_table_and_threshold(spark):
     path = scratch(spark, "warc-test")
     W.write_warc(spark.createDataFrame([], SCHEMA), path)
@@ -46,18 +53,38 @@ def test_empty_table_and_threshold(spark):
     assert {r["page_id"]: r["refers_to"] for r in W.marked(pages, 3).collect()} == {1: None, 2: None, 3: 4, 4: None}
 
 
-def test_ids_repeated_and_null(spark):
-    pages = spark.createDataFrame([(1, "u", "a"), (1, "u", "a"), (None, "u", "a")], SCHEMA)
-    path = scratch(spark, "warc-test")
-    W.write_warc(pages, path)
-    assert W.read_warc(spark, path).where(F.col("kind") == "response").count() >= 1
+LONG, OTHER = "long page " * 20_000, "other page " * 20_000
+
+
+@pytest.mark.parametrize(
+    "pages",
+    [
+        [(1, "u", "a"), (1, "u", "a"), (None, "u", "a")],
+        [(1, "u", LONG), (1, "u", OTHER)],
+        [(None, "u", LONG), (None, "u", OTHER), (None, "u", LONG)],
+        [(1, "u", LONG), (1, "u", LONG), (2, "u", "x"), (2, "u", "x")],
+        [(1, "u", "x"), (1, "u", "y"), (2, "u", "x")],
+        [(3, "u", LONG), (4, "v", LONG), (4, "w", LONG), (None, None, None), (9, None, "")],
+    ],
+)
+def test_ids_repeated_and_null(spark, pages):
+    """One row for each row of the table, whatever its id."""
+    got = W.archived(spark, spark.createDataFrame(pages, SCHEMA).repartition(3), scratch(spark, "warc-test")).collect()
+    lead, want = {}, []
+    for page, _, html in pages:
+        lead[html or ""] = max((x for x in (lead.get(html or ""), page) if x is not None), default=None)
+    for page, _, html in pages:
+        raw, to = (html or "").encode(), lead[html or ""]
+        again = to is not None and page != to
+        want.append((str(page), len(raw), W.base32_sha1(raw), "revisit" if again else "response", str(to if again else None)))
+    assert sorted((str(r["page_id"]), r["payload_bytes"], r["payload_digest"], r["record_type"], str(r["refers_to"])) for r in got) == sorted(want)
 
 
 @settings(max_examples=100, deadline=None)
 @given(st.text(max_size=300), st.integers(1, 40), st.integers(1, 60))
 def test_frames_and_segments(text, chunk, segment):
     raw = text.encode("utf-8")
-    got = list(W.parse(b"".join(W.records(5, "u", raw, W.base32_sha1(raw), None, segment, chunk))))
+    got = list(W.parse(b"".join(W.records(7, 5, "u", raw, W.base32_sha1(raw), None, None, segment, chunk))))
     parts = [(int(h.get("WARC-Segment-Number", 1)), b) for h, b in got]
     total = [int(h["WARC-Segment-Total-Length"]) for h, _ in got if "WARC-Segment-Total-Length" in h]
     assert W.payload_of(W.assemble(parts[::-1], total[0] if total else None)) == raw
