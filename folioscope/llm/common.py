@@ -66,11 +66,18 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def settle(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """cut(), then at most one partition for so many rows: small results aren't dealt over many empty tasks, large
-    ones keep their partitions. The number follows the count, so it grows with the input."""
-    done = cut(df)
-    return done.coalesce(max(1, -(-done.count() // rows)))
+def counted(df: DataFrame, rows: int = 100_000, most: int | None = None) -> tuple[DataFrame, int]:
+    """cut(), then at most one partition for so many rows, and the number of rows: small results aren't dealt over many
+    empty tasks, large ones keep their partitions, as the number follows the count. most: a bound on the rows where one is
+    known, so that small results aren't written as many empty files either."""
+    done = cut(df if most is None else df.coalesce(max(1, -(-most // rows))))
+    n = done.count()
+    return done.coalesce(max(1, -(-n // rows))), n
+
+
+def settle(df: DataFrame, rows: int = 100_000, most: int | None = None) -> DataFrame:
+    """counted() without the number."""
+    return counted(df, rows, most)[0]
 
 
 def keyed(docs: DataFrame, key: str) -> DataFrame:
@@ -95,13 +102,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Returns (id, label); vertices without edges are absent.
     """
     both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    both = settle(both.where("src <> dst").distinct())
-    labels = settle(both.groupBy(F.col("src").alias("id")).agg(F.least(F.first("src"), F.min("dst")).alias("label")))
+    both, n = counted(both.where("src <> dst").distinct())
+    labels, n = counted(both.groupBy(F.col("src").alias("id")).agg(F.least(F.first("src"), F.min("dst")).alias("label")), most=n)
     for _ in range(rounds):
         near = both.join(labels, both.dst == labels.id).groupBy("src").agg(F.min("label").alias("near"))
         step = labels.join(near, labels.id == near.src).select("id", F.least("label", "near").alias("mid"), F.col("label").alias("old"))
         root = labels.select(F.col("id").alias("mid"), F.col("label").alias("up"))
-        new = settle(step.join(root, "mid", "left").select("id", F.least("mid", F.coalesce("up", "mid")).alias("label"), "old"))
+        new = settle(step.join(root, "mid", "left").select("id", F.least("mid", F.coalesce("up", "mid")).alias("label"), "old"), most=n)
         moved = not new.where("label <> old").isEmpty()
         labels = new.select("id", "label")
         if not moved:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, keyed, settle, table
+from .common import components, counted, cut, keyed, settle, table
 from .shingles import band_keys, shingle_set, superminhash, word_list
 
 #: Buckets of up to so many classes give all their pairs; larger ones compare with hubs, again while that finds links,
@@ -110,15 +110,15 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int =
     classes = filled.groupBy("key").agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands")).where("cls is not null")
     banded = classes.select("cls", F.explode("bands").alias("h"))
     crowded = banded.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    buckets = settle(banded.join(crowded, "h").select("h", "c", "cls"))
+    buckets, n = counted(banded.join(crowded, "h").select("h", "c", "cls"))
     score = buckets.groupBy("cls").agg(F.sum("c").alias("score"))
     small = buckets.where(F.col("c") <= SMALL).select("h", "cls")
     few = small.alias("x").join(small.alias("y"), "h").where("x.cls < y.cls").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    large = settle(buckets.where(F.col("c") > SMALL).join(score, "cls").select("h", "cls", "score"))
+    large, n_large = counted(buckets.where(F.col("c") > SMALL).join(score, "cls").select("h", "cls", "score"), most=n)
     first = hubs(large.withColumn("label", F.lit(0)))
     to_hub = large.join(first, "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
     wanted = classes.select("cls", "key").join(score.select("cls"), "cls")
-    sets = settle(full_sets(picked, wanted, width), 20_000)
+    sets = settle(full_sets(picked, wanted, width), 20_000, n)
     links = settle(verify(few.union(to_hub).distinct(), sets, percent))
     label = components(links.toDF("src", "dst"))
     salt = 0
@@ -128,15 +128,15 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int =
         main = named.groupBy("h").agg(F.max_by("label", F.struct("score", F.negative("cls"))).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h", "main")
         rest = named.join(main, "h")
         pairs = rest.join(hubs(rest.where("label <> main"), salt), "h").where("label <> hub_label").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-        more = settle(verify(pairs, sets, percent))
-        if more.isEmpty():
+        more, n_more = counted(verify(pairs, sets, percent), most=HUBS * n_large)
+        if not n_more:
             break
         links = links.union(more)
         label = components(links.toDF("src", "dst"))
-    apart = settle(rest.select("cls", "label").distinct())
-    if not apart.isEmpty():
-        more = settle(verify(rare_pairs(apart, sets, percent), sets, percent))
-        if not more.isEmpty():
+    apart, n_apart = counted(rest.select("cls", "label").distinct(), most=n_large)
+    if n_apart:
+        more, n_more = counted(verify(rare_pairs(apart, sets, percent), sets, percent))
+        if n_more:
             label = components(links.union(more).toDF("src", "dst"))
     of_key = classes.select("key", "cls").join(label.withColumnRenamed("id", "cls"), "cls", "left").select("key", F.coalesce("label", "cls").alias("label"))
     out = signed.select("doc_id", "key", "n_shingles").join(of_key, "key", "left")

@@ -57,6 +57,13 @@ def test_pairs_inside_a_template(spark):
     check(near_dedup(spark.createDataFrame(list(texts.items()), SCHEMA)), texts)
 
 
+def test_pairs_of_short_texts_of_one_template(spark):
+    """800 texts of 24 words, 22 of them the same in all: 400 pairs share the first word too, at 19 of 21 shingles."""
+    base = [f"t{k}" for k in range(22)]
+    texts = {i: " ".join([f"p{i // 2}", *base, f"u{i}"]) for i in range(800)}
+    check(near_dedup(spark.createDataFrame(list(texts.items()), SCHEMA)), texts)
+
+
 def test_odd_rows(spark):
     long = " ".join(f"v{i % 977}a{i % 31}" for i in range(60_000))
     texts = {1: None, 2: "", 3: " \n\t", 4: "one two", 5: "ONE  two", 6: "one two three four five six", 7: long, 8: long + " end", 9: "Été a b c d e", 10: "été a b c d e"}
