@@ -169,8 +169,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """(id, page, url, kind, digest, refers, refers_id, payload) per logical record; page and refers as text, id and refers_id
     record identifiers.
 
-    Records that stand alone are decoded where they are read. Only segmented ones are grouped by their origin's
-    identifier; a group is one row's payload. Missing segments, a wrong total, a cut-off chunk or a wrong digest
+    Records that stand alone are decoded where they are read. Only segmented ones are dealt and sorted by their origin's
+    identifier and their number; what is held at once is one row's payload. Missing segments, a wrong total, a cut-off chunk or a wrong digest
     raise an error.
     """
     got = read_segments(spark, path)
@@ -187,16 +187,31 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             out["payload"] = [check(payload_of(x), d) if k == "response" else None for x, k, d in zip(b["block"], b["kind"], b["digest"], strict=True)]
             yield out
 
-    def together(g: pd.DataFrame) -> pd.DataFrame:
-        totals = [int(t) for t in g["total"] if not pd.isna(t)]
-        first = g[g["number"] == 1].rename(columns={"origin": "id"})
-        if len(first) != 1:
-            raise ValueError("segments are missing" if first.empty else "segments are repeated")
-        block = assemble([(int(n), bytes(x)) for n, x in zip(g["number"], g["block"], strict=True)], totals[0] if totals else None)
-        return first[columns].assign(payload=[check(payload_of(block), first["digest"].iloc[0])])
+    def whole(rows: list[tuple]) -> tuple:
+        """The record of an origin's segments, which come in the order of their numbers."""
+        first, totals = rows[0], [int(r[1]) for r in rows if not pd.isna(r[1])]
+        if first[0] != 1:
+            raise ValueError("segments are missing")
+        block = assemble([(int(r[0]), bytes(r[2])) for r in rows], totals[0] if totals else None)
+        return (*first[3:], check(payload_of(block), first[7]))
+
+    def together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        origin, held = None, []
+        for b in batches:
+            out = []
+            for row in b[["number", "total", "block", "origin", *columns[1:]]].itertuples(index=False, name=None):
+                if row[3] != origin and held:
+                    out.append(whole(held))
+                    held = []
+                origin = row[3]
+                held.append(row)
+            yield pd.DataFrame(out, columns=[*columns, "payload"])
+        if held:
+            yield pd.DataFrame([whole(held)], columns=[*columns, "payload"])
 
     schema = "id string, page string, url string, kind string, digest string, refers string, refers_id string, payload binary"
-    return got.where("not split").mapInPandas(alone, schema).unionByName(got.where("split").groupBy("origin").applyInPandas(together, schema))
+    split = got.where("split").drop("split").repartition("origin").sortWithinPartitions("origin", "number")
+    return got.where("not split").mapInPandas(alone, schema).unionByName(split.mapInPandas(together, schema))
 
 
 def archived(spark: SparkSession, pages: DataFrame, path: str, least: int = 0, segment: int = SEGMENT, chunk: int = CHUNK) -> DataFrame:
