@@ -8,6 +8,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
@@ -19,49 +20,45 @@ from .common import table
 
 #: Entries of a generation of each of a worker's caches.
 CACHE = 250_000
-#: Longest pre-token in bytes for which a scan for the lowest pair is used in place of the queue.
-SHORT = 24
-NONE = 1 << 62
 RUN = re.compile(r"\s\s")
 
 
 class RankQueue:
-    """Pops the smallest (rank, position). Buckets per rank hold positions; three bitmap levels of 64-bit words show
-    which buckets have any, and find-first-set on each level leads to the lowest."""
+    """Pops the smallest (rank, position). Buckets per rank hold positions; words of 256 bits show which buckets have any,
+    a word above them which of them have a bit, and find-first-set on either level leads to the lowest."""
 
     def __init__(self, ranks: int) -> None:
-        self.words = [0] * (ranks // 64 + 1)
-        self.mid = [0] * (len(self.words) // 64 + 1)
+        self.words = [0] * ((ranks >> 8) + 1)
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket:
+        if bucket is not None:
             heapq.heappush(bucket, position)
             return
         self.buckets[rank] = [position]
-        w = rank >> 6
-        self.words[w] |= 1 << (rank & 63)
-        self.mid[w >> 6] |= 1 << (w & 63)
-        self.top |= 1 << (w >> 6)
+        w = rank >> 8
+        bits = self.words[w]
+        if not bits:
+            self.top |= 1 << w
+        self.words[w] = bits | 1 << (rank & 255)
 
     def pop(self) -> tuple[int, int] | None:
-        if not self.top:
+        top = self.top
+        if not top:
             return None
-        m = (self.top & -self.top).bit_length() - 1
-        w = (m << 6) + (self.mid[m] & -self.mid[m]).bit_length() - 1
-        rank = (w << 6) + (self.words[w] & -self.words[w]).bit_length() - 1
+        w = (top & -top).bit_length() - 1
+        bits = self.words[w]
+        rank = (w << 8) + (bits & -bits).bit_length() - 1
         bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.words[w] &= self.words[w] - 1
-            if not self.words[w]:
-                self.mid[m] &= self.mid[m] - 1
-                if not self.mid[m]:
-                    self.top &= self.top - 1
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heapq.heappop(bucket)
+        del self.buckets[rank]
+        self.words[w] = bits = bits & (bits - 1)
+        if not bits:
+            self.top = top & (top - 1)
+        return rank, bucket[0]
 
 
 def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
@@ -73,36 +70,34 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
-    n = len(piece)
+    n, get, push, pop = len(piece), ranks.get, queue.push, queue.pop
     end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the token that starts here
-    pair: list[int | None] = [None] * n
-    for i in range(n - 1):
-        r = ranks.get(piece[i : i + 2])
-        if r is not None:
-            pair[i] = r
-            queue.push(r, i)
-    while (got := queue.pop()) is not None:
+    pair = [get(piece[i : i + 2], -1) for i in range(n)]
+    pair[-1] = -1
+    for i, r in enumerate(pair):
+        if r >= 0:
+            push(r, i)
+    while (got := pop()) is not None:
         rank, i = got
         if pair[i] != rank:
             continue
         j = end[i]
-        pair[j] = None
+        pair[j] = -1
         end[i] = k = end[j]
-        end[j] = -1
         if k < n:
             before[k] = i
-            pair[i] = r = ranks.get(piece[i : end[k]])
-            if r is not None:
-                queue.push(r, i)
+            pair[i] = r = get(piece[i : end[k]], -1)
+            if r >= 0:
+                push(r, i)
         else:
-            pair[i] = None
+            pair[i] = -1
         h = before[i]
         if h >= 0:
-            r = ranks.get(piece[h:k])
+            r = get(piece[h:k], -1)
             if r != pair[h]:
                 pair[h] = r
-                if r is not None:
-                    queue.push(r, h)
+                if r >= 0:
+                    push(r, h)
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : end[i]]])
@@ -110,25 +105,6 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
     return out
 
 
-def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """merge() for a few bytes: a scan for the lowest pair costs less than filling a queue."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    get = ranks.get
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    pairs = [get(piece[i : i + 2], NONE) for i in range(len(piece) - 1)]
-    while pairs and (low := min(pairs)) != NONE:
-        i = pairs.index(low)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del pairs[i]
-        if i < len(pairs):
-            pairs[i] = get(parts[i] + parts[i + 1], NONE)
-        if i:
-            pairs[i - 1] = get(parts[i - 1] + parts[i], NONE)
-    return [ranks[x] for x in parts]
-
-
 class Memo(dict):
     """Cache in two generations: what was used since the last change survives the next."""
 
@@ -169,7 +145,8 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         raw = piece.encode("utf-8")
-        return np.array(merge(raw, self.ranks, self.queue) if len(raw) > SHORT else merge_short(raw, self.ranks), "<u4").tobytes()
+        ids = merge(raw, self.ranks, self.queue)
+        return pack_ids(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """A lone space between other characters always begins a pre-token and a lone line feed always is one, so
