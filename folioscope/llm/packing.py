@@ -7,6 +7,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
@@ -18,13 +19,16 @@ from .bpe import Memo
 from .common import cut, shuffle_partitions, table
 
 ODD = re.compile("[\x1c-\x1f]")
+#: ASCII characters that are no letters, digits or white space.
+MARKS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
 class WordEncoder:
     """Ids (little-endian unsigned 32-bit) of a lower-casing word-end BPE of the tokenizers library.
 
     Its pre-tokens never span white space, so chunks between white space are looked up in a cache; words that are new
-    go to the library's model.
+    go to the library's model. Letters alone are one pre-token, so such chunks, and those with one mark after them, need
+    no pattern.
     """
 
     def __init__(self, path: str) -> None:
@@ -37,10 +41,20 @@ class WordEncoder:
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         self.visible = [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
         self.words = Memo(self._word)
-        self.chunks = Memo(lambda chunk: b"".join(map(self.words.__getitem__, self.find(chunk))))
+        self.chunks = Memo(self._chunk)
+        self.tokenize = self.tok.model.tokenize
 
     def _word(self, word: str) -> bytes:
-        return np.array([t.id for t in self.tok.model.tokenize("".join([self.visible[b] for b in word.encode()]))], "<u4").tobytes()
+        shown = word if word.isascii() and word.isalpha() else "".join([self.visible[b] for b in word.encode()])
+        ids = [t.id for t in self.tokenize(shown)]
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self._word(chunk)
+        if chunk[-1] in MARKS and chunk[:-1].isalpha():
+            return self.chunks[chunk[:-1]] + self.words[chunk[-1]]
+        return b"".join(map(self.words.__getitem__, self.find(chunk)))
 
     def encode(self, text: str) -> bytes:
         # The library finds its special tokens before it splits words, and its tables of letters are older than ours.
