@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 
 from folioscope.llm import html_text as H
+from folioscope.llm.shingles import word_hashes
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -33,6 +36,74 @@ def test_host_boilerplate_goes_and_unique_runs_stay(spark):
     assert got[9] == menu
 
 
+def host(n, page):
+    return [(i, f"https://h.example/{i}", page(i)) for i in range(n)]
+
+
+def test_copies_of_an_article_stay(spark):
+    """Mirrors, copies on few pages of a host, and pages of which hardly anything would stay, keep their text."""
+    story = " ".join(f"word{i}" for i in range(40))
+    for n, page in (
+        (2, lambda i: f"<div>{story}</div>"),
+        (6, lambda i: f"<div>{story}</div>"),
+        (2, lambda i: f"<div>{story}</div><div>own ending number {i} of this page and no other one at all</div>"),
+        (5, lambda i: f"<div>{story}</div><p>page {i}</p>"),
+    ):
+        got = texts(spark, host(n, page))
+        assert all(story in t for t in got.values()), n
+    rows = host(8, lambda i: f"<div>{story if i < 2 else ' '.join(f'x{i}y{k}' for k in range(40))}</div>" + f"<h2>Introduction {'x' * i}</h2>")
+    assert all(story in texts(spark, rows)[i] for i in range(2))
+    assert all("Introduction" in t for t in texts(spark, host(2, lambda i: f"<h2>Introduction</h2><div>the story number {i} of many words that is told on this page {i}</div>")).values())
+
+
+def test_notice_inside_articles_goes(spark):
+    """A block that stands in the articles of most pages of a host is boilerplate though structure does not tell."""
+    notice = "Read our other stories, they are all free of charge"
+    got = texts(spark, host(6, lambda i: f"<article><p>story {i} has its words {i}</p><div>{notice}</div><p>and an end of its own {i}</p></article>"))
+    assert got == {i: f"story {i} has its words {i}\n\nand an end of its own {i}" for i in range(6)}
+    lone = texts(spark, host(6, lambda i: f"<article><p>story {i} has its words {i}</p><div>{notice if i < 3 else i}</div></article>"))
+    assert all(notice in lone[i] for i in range(3))
+
+
+def test_chrome_of_marked_pages_is_known_on_others(spark):
+    """What stands outside the articles of a host's pages is boilerplate on its page that marks none; a comment or script
+    that names an element marks nothing."""
+    frame = "Subscribe to the weekly letter of this site and never miss a story again"
+    rows = host(5, lambda i: f"<footer>{frame}</footer><article><p>story {i} with words</p></article>")
+    rows += [(9, "https://h.example/9", f"<!-- <main> --><script>'<article>'</script><div>{frame}</div><div>the only page here that has no element around its text</div>")]
+    got = texts(spark, rows)
+    assert got[9] == "the only page here that has no element around its text" and got[0] == "story 0 with words"
+
+
+def test_windows_of_a_host_against_all_windows(spark):
+    """The boilerplate keys of a host are those of the windows that brute force finds, for pages dealt over partitions."""
+    r = random.Random(3)
+    menu = [[f"m{k}w{i}" for i in range(12)] for k in range(4)]
+    pages = []
+    for i in range(40):
+        own = [f"p{i}x{r.randrange(999)}" for _ in range(30)]
+        for k in range(4):
+            if i % (k + 2) == 0:
+                own[r.randrange(30):0] = menu[k]
+        pages.append(own)
+    rows = spark.createDataFrame([("h", f"<div>{' '.join(p)}</div>") for p in pages], "host string, html string").repartition(5)
+    got = {k for row in H.repeated(rows, 8).collect() for k in row["keys"]}
+    seen = {}
+    for i, p in enumerate(pages):
+        for k in range(len(p) - 7):
+            seen.setdefault(tuple(p[k : k + 8]), set()).add(i)
+    often = [w for w, on in seen.items() if len(on) >= 10]
+    want = {int(H.window_keys(word_hashes(list(w)), np.zeros(8, np.int64), 8).view(np.int64)[0]) for w in often}
+    assert often and got == want
+
+
+def test_beyond_the_broadcast_bound(spark, monkeypatch):
+    rows = host(5, lambda i: f"<div>{'menu of this host is always the very same thing'}</div><div>story {i} " + " ".join(f"s{i}x{k}" for k in range(20)) + "</div>")
+    few = texts(spark, rows)
+    monkeypatch.setattr(H, "BROADCAST_KEYS", 0)
+    assert texts(spark, rows) == few and "menu" not in few[0]
+
+
 def test_odd_rows(spark):
     long = "<article>" + "<p>word word &amp; more</p>" * 60_000 + "</article>"
     rows = [(1, None, None), (2, "", ""), (3, "x", "plain text only"), (4, "http://h/", "<p>unclosed <b>tags"), (5, None, "<<<>>> & &bogus; <"), (6, "u", long), (7, "u", "<div" * 3000), (7, "u", "<div" * 3000)]
