@@ -80,6 +80,14 @@ def settle(df: DataFrame, rows: int = 100_000, most: int | None = None) -> DataF
     return counted(df, rows, most)[0]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with low lines after it until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keyed(docs: DataFrame, key: str) -> DataFrame:
     """docs with a key that is never null: doc_id, or for each row without one a value of its own above all ids."""
     without = docs.where("doc_id is null")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, keyed, table
+from .common import ascii_lower, cut, free_name, keyed, table
 
 #: Members of a group that are compared with one copy of the text that stays.
 SLICE = 64
@@ -64,7 +64,15 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of equal texts the document with the smallest doc_id stays; columns are those of docs. A row
-    without a doc_id goes only if a row with one, or another without, stays for its text."""
-    rows = keyed(docs, "_key")
-    kept = exact_dedup(rows.select("_key", "text"), id_col="_key", keep="min").where("kept").select("_key")
-    return rows.join(kept.distinct(), "_key", "left_semi").select(docs.columns)
+    without a doc_id goes only if a row with one, or another without, stays for its text. Null and empty texts are one
+    text. Of rows that repeat a doc_id and its text one stays (the first by its columns as JSON). An empty table stays so."""
+    key, place = free_name(docs, "_key"), free_name(docs, "_place")
+    rows = keyed(docs, key)
+    kept = exact_dedup(rows.select(key, "text"), id_col=key, keep="min").where("kept").select(key, "text_sha256")
+    if rows.groupBy(key).count().where("count > 1").isEmpty():
+        return rows.join(kept.select(key), key, "left_semi").select(docs.columns)
+    sha = free_name(docs, "_sha")
+    own = rows.withColumn(sha, F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256))
+    stay = own.join(kept.distinct().withColumnRenamed("text_sha256", sha), [key, sha], "left_semi")
+    first = Window.partitionBy(key, sha).orderBy(F.to_json(F.struct(*docs.columns)))
+    return stay.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(docs.columns)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, counted, cut, keyed, settle, table
+from .common import components, counted, cut, free_name, keyed, settle, table
 from .shingles import band_keys, shingle_set, superminhash, word_list
 
 #: Buckets of up to so many classes give all their pairs; larger ones compare with hubs, again while that finds links,
@@ -149,8 +149,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component of links at 0.85 or more the smallest doc_id stays; columns are those of docs. A
-    row without a doc_id goes only if another row of its component stays; rows with one come first."""
-    rows = keyed(docs, "_key")
-    kept = near_dedup(rows.select("_key", "text"), id_col="_key").where("kept").select("_key").distinct()
-    return rows.join(kept, "_key", "left_semi").select(docs.columns)
+    """Pipeline stage: of each component of links at 0.8 or more over five words (25 bands of 5; a link at exactly 0.8 is
+    missed with probability 5e-5) the smallest doc_id stays; columns are those of docs. A row without a doc_id goes only if
+    another row of its component stays; rows with one come first. Null and empty texts stay. Rows that repeat a doc_id stay
+    or go together. An empty table stays so."""
+    key = free_name(docs, "_key")
+    rows = keyed(docs, key)
+    kept = near_dedup(rows.select(key, "text"), percent=80, bands=25, rows=5, id_col=key).where("kept").select(key).distinct()
+    return rows.join(kept, key, "left_semi").select(docs.columns)

@@ -208,7 +208,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every document that is left, packed."""
+    """Pipeline stage: every document that is left, packed. Null and empty texts are the end id alone; null ids and
+    repeated rows are packed as they come; an empty table gives no rows."""
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))

@@ -127,7 +127,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_rejected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the base limits or the learned list reject go; columns are those of docs."""
+    """Pipeline stage: documents that the base limits or the learned list reject go; columns are those of docs. Null and
+    empty texts have too few words, so they go; null ids and repeated rows are judged like others; an empty table stays so."""
     rules = fit_rules(spark, docs, sf_dir)
     own = [c for c in docs.columns if c not in ("doc_id", "text")]
     packed = docs.select("doc_id", "text", F.struct(*own).alias("own")) if own else docs.select("doc_id", "text", F.struct(F.lit(0).alias("none")).alias("own"))

@@ -226,5 +226,6 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: secrets become a mask; no document goes."""
+    """Pipeline stage: secrets become a mask; no document goes. Null and empty texts, texts without candidates, null ids
+    and repeated rows stay as they are; without a source column the source counts as empty."""
     return redact(docs, train(spark))
