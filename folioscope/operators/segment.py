@@ -67,28 +67,25 @@ def join_sentences(lines: Column) -> Column:
 
 def pack_paragraphs(paragraphs: Column, profile: T.Profile = T.V3) -> Column:
     """Chunks of paragraphs joined by a blank line: flushed before they would pass `most` tokens and after they reach
-    `target`; items of a numbered list stay together."""
-    state = "struct<done:array<string>,cur:array<string>,tok:bigint>"
+    `target`; items of a numbered list stay together. The fold carries numbers alone, and texts are sliced once after it."""
+    state = "struct<cuts:array<int>,tok:bigint,open:boolean,marked:boolean>"
     marker = T.LIST_ITEM if profile.list_rule == "both" else T.LIST_ANYWHERE
-
-    def step(s: Column, para: Column) -> Column:
-        x = T.strip(para)
-        item, n = x.rlike(T.LIST_ITEM), T.tokens(x)
-        keep = item & F.coalesce(last(s["cur"]).rlike(marker), F.lit(False))
-        flush = (s["tok"] > 0) & (s["tok"] + n > profile.most) & ~keep
-        done = F.when(flush, F.concat(s["done"], F.array(F.array_join(s["cur"], "\n\n")))).otherwise(s["done"])
-        cur = F.when(flush, F.array(x)).otherwise(F.concat(s["cur"], F.array(x)))
-        tok = F.when(flush, n).otherwise(s["tok"] + n)
-        full = (tok >= profile.target) & ~item
-        new = F.struct(
-            F.when(full, F.concat(done, F.array(F.array_join(cur, "\n\n")))).otherwise(done).alias("done"),
-            F.when(full, F.array().cast(STRINGS)).otherwise(cur).alias("cur"),
-            F.when(full, F.lit(0).cast("bigint")).otherwise(tok).alias("tok"),
-        ).cast(state)
-        return F.when(x == "", s).otherwise(new)
-
-    start = F.struct(F.array().cast(STRINGS).alias("done"), F.array().cast(STRINGS).alias("cur"), F.lit(0).cast("bigint").alias("tok")).cast(state)
-    return F.aggregate(paragraphs, start, step, lambda s: F.when(F.size(s["cur"]) > 0, F.concat(s["done"], F.array(F.array_join(s["cur"], "\n\n")))).otherwise(s["done"]))
+    make = lambda cuts, tok, open_, marked: F.struct(cuts.alias("cuts"), tok.alias("tok"), open_.alias("open"), marked.alias("marked")).cast(state)
+
+    def step(s: Column, p: Column) -> Column:
+        keep = p["item"] & s["open"] & s["marked"]
+        flush = (s["tok"] > 0) & (s["tok"] + p["n"] > profile.most) & ~keep
+        tok = F.when(flush, p["n"]).otherwise(s["tok"] + p["n"])
+        full = (tok >= profile.target) & ~p["item"]
+        return make(F.when(flush | ~s["open"], F.concat(s["cuts"], F.array(p["at"]))).otherwise(s["cuts"]), F.when(full, F.lit(0).cast("bigint")).otherwise(tok), ~full, p["marked"])
+
+    def packed(xs: Column) -> Column:
+        told = F.transform(xs, lambda x, i: F.struct(i.alias("at"), T.tokens(x).alias("n"), x.rlike(T.LIST_ITEM).alias("item"), x.rlike(marker).alias("marked")))
+        cuts = F.aggregate(told, make(F.array().cast("array<int>"), F.lit(0).cast("bigint"), F.lit(False), F.lit(False)), step, lambda s: s["cuts"])
+        return F.element_at(F.transform(F.array(cuts), lambda c: F.transform(c, lambda a, k: F.array_join(F.slice(xs, a + 1, F.coalesce(F.get(c, k + 1), F.size(xs)) - a), "\n\n"))), 1)
+
+    solid = F.filter(F.transform(paragraphs, T.strip), lambda x: x != "")
+    return F.element_at(F.transform(F.array(solid), packed), 1)
 
 
 def exploded(docs: DataFrame, lines: Column, *keep: str) -> DataFrame:
