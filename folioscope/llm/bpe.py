@@ -21,14 +21,20 @@ from .common import table
 #: Entries of a generation of each of a worker's caches.
 CACHE = 250_000
 RUN = re.compile(r"\s\s")
+#: ASCII characters that are no letters, digits or white space.
+MARKS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+#: What a pattern has that takes a run of letters, with a space before or without, as one pre-token.
+LETTERS = r" ?\p{L}+"
 
 
 class RankQueue:
     """Pops the smallest (rank, position). Buckets per rank hold positions; words of 256 bits show which buckets have any,
-    a word above them which of them have a bit, and find-first-set on either level leads to the lowest."""
+    a word above them which of them have a bit, and find-first-set on either level leads to the lowest. push() and pop()
+    say what it does; merge() has them in line, as a call costs as much as they do."""
 
     def __init__(self, ranks: int) -> None:
         self.words = [0] * ((ranks >> 8) + 1)
+        self.bit = [1 << k for k in range(max(256, len(self.words)))]
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
@@ -39,16 +45,13 @@ class RankQueue:
             return
         self.buckets[rank] = [position]
         w = rank >> 8
-        bits = self.words[w]
-        if not bits:
-            self.top |= 1 << w
-        self.words[w] = bits | 1 << (rank & 255)
+        self.top |= self.bit[w]
+        self.words[w] |= self.bit[rank & 255]
 
     def pop(self) -> tuple[int, int] | None:
-        top = self.top
-        if not top:
+        if not self.top:
             return None
-        w = (top & -top).bit_length() - 1
+        w = (self.top & -self.top).bit_length() - 1
         bits = self.words[w]
         rank = (w << 8) + (bits & -bits).bit_length() - 1
         bucket = self.buckets[rank]
@@ -57,7 +60,7 @@ class RankQueue:
         del self.buckets[rank]
         self.words[w] = bits = bits & (bits - 1)
         if not bits:
-            self.top = top & (top - 1)
+            self.top ^= self.bit[w]
         return rank, bucket[0]
 
 
@@ -65,39 +68,64 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
     """Ids of one pre-token: again and again the pair of lowest rank, leftmost first, becomes one token.
 
     Tokens are a linked list over byte positions. An entry of the queue is stale when its left token is gone or the
-    pair at its place has another rank by now; such entries are skipped.
+    pair at its place has another rank by now; such entries are skipped. The queue is empty before and after.
     """
-    whole = ranks.get(piece)
+    get = ranks.get
+    whole = get(piece)
     if whole is not None:
         return [whole]
-    n, get, push, pop = len(piece), ranks.get, queue.push, queue.pop
+    n, words, buckets, top, bit, heappush, heappop = len(piece), queue.words, queue.buckets, 0, queue.bit, heapq.heappush, heapq.heappop
     end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the token that starts here
-    pair = [get(piece[i : i + 2], -1) for i in range(n)]
-    pair[-1] = -1
+    pair = [get(piece[i : i + 2], -1) for i in range(n - 1)]
+    pair.append(-1)
     for i, r in enumerate(pair):
         if r >= 0:
-            push(r, i)
-    while (got := pop()) is not None:
-        rank, i = got
+            if r in buckets:
+                buckets[r].append(i)  # positions come in order, so the list is a heap
+            else:
+                buckets[r] = [i]
+                w = r >> 8
+                top |= bit[w]
+                words[w] |= bit[r & 255]
+    while top:
+        w = (top & -top).bit_length() - 1
+        bits = words[w]
+        low = bits & -bits
+        rank = (w << 8) + low.bit_length() - 1
+        bucket = buckets[rank]
+        if len(bucket) > 1:
+            i = heappop(bucket)
+        else:
+            i = bucket[0]
+            del buckets[rank]
+            words[w] = bits = bits ^ low
+            if not bits:
+                top ^= bit[w]
         if pair[i] != rank:
             continue
         j = end[i]
         pair[j] = -1
         end[i] = k = end[j]
+        h, new, old = before[i], -1, -1
         if k < n:
             before[k] = i
-            pair[i] = r = get(piece[i : end[k]], -1)
-            if r >= 0:
-                push(r, i)
-        else:
-            pair[i] = -1
-        h = before[i]
+            new = get(piece[i : end[k]], -1)
+        pair[i] = new
         if h >= 0:
-            r = get(piece[h:k], -1)
-            if r != pair[h]:
-                pair[h] = r
-                if r >= 0:
-                    push(r, h)
+            old = get(piece[h:k], -1)
+            if old == pair[h]:
+                old = -1
+            else:
+                pair[h] = old
+        for r, at in ((new, i), (old, h)):
+            if r >= 0:
+                if r in buckets:
+                    heappush(buckets[r], at)
+                else:
+                    buckets[r] = [at]
+                    w = r >> 8
+                    top |= bit[w]
+                    words[w] |= bit[r & 255]
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : end[i]]])
@@ -137,17 +165,27 @@ class Encoder:
             self.tokens[r] = t
         # The library's \s is the property White_Space; that of the module regex has four control characters more.
         self.find = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
-        pieces = Memo(self._piece)
-        self.first = Memo(lambda chunk: b"".join(map(pieces.__getitem__, self.find(chunk))))
-        self.later = Memo(lambda chunk: b"".join(map(pieces.__getitem__, self.find(" " + chunk))))
-        self.line = pieces["\n"]
-        self.pieces = pieces
+        # What stands before the run of letters can't take letters or a space where all of it begins with an apostrophe.
+        self.letters = LETTERS in pattern and all(x.startswith("'") for x in pattern.split(LETTERS)[0].split("|") if x)
+        self.pieces = Memo(self._piece)
+        self.first = Memo(lambda chunk: self._chunk(chunk, "", self.first))
+        self.later = Memo(lambda chunk: self._chunk(chunk, " ", self.later))
+        self.line = self.pieces["\n"]
 
     def _piece(self, piece: str) -> bytes:
         raw = piece.encode("utf-8")
         ids = merge(raw, self.ranks, self.queue)
         return pack_ids(f"<{len(ids)}I", *ids)
 
+    def _chunk(self, chunk: str, lead: str, cache: Memo) -> bytes:
+        """Ids of what lies between white space: letters, or letters and one mark, need no pattern."""
+        if self.letters:
+            if chunk.isalpha():
+                return self._piece(lead + chunk)
+            if chunk[-1:] in MARKS and chunk[:-1].isalpha():
+                return cache[chunk[:-1]] + self.first[chunk[-1]]
+        return b"".join(map(self.pieces.__getitem__, self.find(lead + chunk)))
+
     def encode(self, text: str) -> bytes:
         """A lone space between other characters always begins a pre-token and a lone line feed always is one, so
         texts without runs of white space are looked up word by word; others go through the pattern whole."""

@@ -15,12 +15,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import Memo
+from .bpe import MARKS, Memo
 from .common import cut, shuffle_partitions, table
 
 ODD = re.compile("[\x1c-\x1f]")
-#: ASCII characters that are no letters, digits or white space.
-MARKS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
 class WordEncoder:
