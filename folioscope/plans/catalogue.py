@@ -580,4 +580,4 @@ def range_position(spark, d):
     return ranked.select("o_orderkey", (((F.col("before") + F.col("local") - 1) / (F.col("n") - 1)) >= 0.9).alias("top_decile"))
 
 
-from . import section_queries  # noqa: E402, F401  they register themselves
+from . import review_queries, section_queries  # noqa: E402, F401  they register themselves
