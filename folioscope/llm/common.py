@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,16 +104,49 @@ def keyed(docs: DataFrame, key: str) -> DataFrame:
     return docs.where("doc_id is not null").withColumn(key, own).union(cut(without.withColumn(key, above)))
 
 
+#: Edges whose components one task finds; more are spread over many.
+TOGETHER = 1 << 20
+
+
+def least_labels(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vertices and the smallest vertex of the component of each: union-find on arrays, where in each round every root
+    takes the smallest root next to it and paths are halved until they are flat."""
+    ids, at = np.unique(np.concatenate([src, dst]), return_inverse=True)
+    a, b = at[: len(src)], at[len(src) :]
+    root = np.arange(len(ids))
+    while len(a):
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return ids, ids[root]
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """Smallest vertex reachable from every vertex of undirected edges (src, dst).
+    """(id, label): the smallest vertex reachable from every vertex of undirected edges (src, dst); vertices without edges
+    are absent.
 
-    Min-label propagation with pointer jumping; each round is two equi-joins and one partial aggregation over
-    narrow rows, so a vertex with very many edges is summed map-side. Lineage is cut each round.
-    Returns (id, label); vertices without edges are absent.
+    Up to TOGETHER distinct edges, 16 MB of numbers, go to one task, which needs no rounds. Beyond that labels are
+    propagated with pointer jumping: each round is two equi-joins and one partial aggregation over narrow rows, so a
+    vertex with very many edges is summed map-side. Lineage is cut each round. The result is the same.
     """
-    both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    both, n = counted(both.where("src <> dst").distinct())
-    labels, n = counted(both.groupBy(F.col("src").alias("id")).agg(F.least(F.first("src"), F.min("dst")).alias("label")), most=n)
+    pairs = edges.where("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+    pairs, n = counted(pairs.distinct())
+    if n <= TOGETHER:
+
+        def together(batches):
+            held = [(b["src"].to_numpy(), b["dst"].to_numpy()) for b in batches]
+            if held:
+                ids, label = least_labels(np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held]))
+                for at in range(0, len(ids), 100_000):
+                    yield pd.DataFrame({"id": ids[at : at + 100_000], "label": label[at : at + 100_000]})
+
+        kind = edges.schema["src"].dataType.simpleString()
+        return settle(pairs.coalesce(1).mapInPandas(together, f"id {kind}, label {kind}"))
+    both = settle(pairs.union(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), most=2 * n)
+    labels, n = counted(both.groupBy(F.col("src").alias("id")).agg(F.least(F.first("src"), F.min("dst")).alias("label")), most=2 * n)
     for _ in range(rounds):
         near = both.join(labels, both.dst == labels.id).groupBy("src").agg(F.min("label").alias("near"))
         step = labels.join(near, labels.id == near.src).select("id", F.least("label", "near").alias("mid"), F.col("label").alias("old"))

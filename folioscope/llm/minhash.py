@@ -88,17 +88,45 @@ def hubs(members: DataFrame, salt: int = 0) -> DataFrame:
     return found.select("h", F.negative(F.col("x.low")).alias("hub"), F.col("x.label").alias("hub_label"))
 
 
+def linked(buckets: DataFrame, n: int, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, label) of classes with a link: the components of all pairs of a bucket that are confirmed on full sets.
+
+    buckets: (h, c, cls, score), n rows, c of them with h. All pairs in buckets of up to SMALL classes; in larger ones every
+    class with the hubs, then, as long as that finds links, of buckets that hold several components every class outside
+    the main one with new hubs. Each round is linear in the bucket and a hub takes in all that is near it, so that few links
+    are left for the last step, which compares what is still apart exactly (rare_pairs); no pair of a bucket is left out.
+    """
+    small = buckets.where(F.col("c") <= SMALL).select("h", "cls")
+    few = small.alias("x").join(small.alias("y"), "h").where("x.cls < y.cls").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+    large, n_large = counted(buckets.where(F.col("c") > SMALL).select("h", "cls", "score"), most=n)
+    to_hub = large.join(hubs(large.withColumn("label", F.lit(0))), "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+    links = settle(verify(few.union(to_hub).distinct(), sets, percent))
+    label = components(links.toDF("src", "dst"))
+    salt = 0
+    while n_large:
+        salt += 1
+        named = large.join(label.withColumnRenamed("id", "cls"), "cls", "left").select("h", "cls", "score", F.coalesce("label", "cls").alias("label"))
+        main = named.groupBy("h").agg(F.max_by("label", F.struct("score", F.negative("cls"))).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h", "main")
+        rest = named.join(main, "h")
+        pairs = rest.join(hubs(rest.where("label <> main"), salt), "h").where("label <> hub_label").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
+        more, n_more = counted(verify(pairs, sets, percent), most=HUBS * n_large)
+        if not n_more:
+            apart, n_apart = counted(rest.select("cls", "label").distinct(), most=n_large)
+            if n_apart:
+                more, n_more = counted(verify(rare_pairs(apart, sets, percent), sets, percent))
+            return components(links.union(more).toDF("src", "dst")) if n_more else label
+        links = links.union(more)
+        label = components(links.toDF("src", "dst"))
+    return label
+
+
 def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int = 6, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept.
 
     A document's set: its distinct `width`-word shingles after lower-casing A-Z; with fewer words the whole sequence as
     one. Texts of the same words are one class, so copies are never compared. Classes that share a band of the
-    SuperMinHash signature (bands * rows slots; a link at exactly 0.85 is missed with probability 5e-5) are candidates:
-    all pairs in buckets of up to 32 classes, so at most 16 pairs a row; in larger buckets every class with two hubs,
-    the classes that collide most. Candidates are confirmed on full sets. Then, as long as that finds links, large
-    buckets which still hold several components compare with new hubs from outside their main component. At last the
-    classes of buckets that hold several components even so are compared exactly across these (rare_pairs), so no pair
-    of a bucket is left out. component_id is the smallest id reachable, kept whether it is the row's own.
+    SuperMinHash signature (bands * rows slots; a link at exactly 0.85 is missed with probability 5e-5) are candidates,
+    and all of them are settled on full sets (linked()), so no pair of a bucket is left out. component_id is the smallest id reachable, kept whether it is the row's own.
 
     Null and empty texts and texts without words have the empty set and link with nothing: their component is their
     own id. Repeated rows repeat their result; an id that has several texts links if one of them does; a null id is
@@ -112,32 +140,9 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int =
     crowded = banded.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     buckets, n = counted(banded.join(crowded, "h").select("h", "c", "cls"))
     score = buckets.groupBy("cls").agg(F.sum("c").alias("score"))
-    small = buckets.where(F.col("c") <= SMALL).select("h", "cls")
-    few = small.alias("x").join(small.alias("y"), "h").where("x.cls < y.cls").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    large, n_large = counted(buckets.where(F.col("c") > SMALL).join(score, "cls").select("h", "cls", "score"), most=n)
-    first = hubs(large.withColumn("label", F.lit(0)))
-    to_hub = large.join(first, "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
     wanted = classes.select("cls", "key").join(score.select("cls"), "cls")
     sets = settle(full_sets(picked, wanted, width), 20_000, n)
-    links = settle(verify(few.union(to_hub).distinct(), sets, percent))
-    label = components(links.toDF("src", "dst"))
-    salt = 0
-    while True:
-        salt += 1
-        named = large.join(label.withColumnRenamed("id", "cls"), "cls", "left").select("h", "cls", "score", F.coalesce("label", "cls").alias("label"))
-        main = named.groupBy("h").agg(F.max_by("label", F.struct("score", F.negative("cls"))).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h", "main")
-        rest = named.join(main, "h")
-        pairs = rest.join(hubs(rest.where("label <> main"), salt), "h").where("label <> hub_label").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-        more, n_more = counted(verify(pairs, sets, percent), most=HUBS * n_large)
-        if not n_more:
-            break
-        links = links.union(more)
-        label = components(links.toDF("src", "dst"))
-    apart, n_apart = counted(rest.select("cls", "label").distinct(), most=n_large)
-    if n_apart:
-        more, n_more = counted(verify(rare_pairs(apart, sets, percent), sets, percent))
-        if n_more:
-            label = components(links.union(more).toDF("src", "dst"))
+    label = linked(buckets.join(score, "cls").select("h", "c", "cls", "score"), n, sets, percent)
     of_key = classes.select("key", "cls").join(label.withColumnRenamed("id", "cls"), "cls", "left").select("key", F.coalesce("label", "cls").alias("label"))
     out = signed.select("doc_id", "key", "n_shingles").join(of_key, "key", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, counted, cut, settle, table
-from .minhash import SMALL, hubs, rare_pairs, verify
+from .common import counted, cut, settle, table
+from .minhash import linked
 from .shingles import HASHES, ODD, mix, windows, word_list
 
 #: A word begins a paragraph where the hash of it and the word before is the lowest among so many on either side.
@@ -218,8 +218,7 @@ def repeated_spans(docs: DataFrame, percent: int = 80, bands: int = 3, width: in
     of one min-hash over its `width`-word shingles; paragraphs at a Jaccard similarity of 0.8 share one with
     probability 0.992, equal ones always. Keys of a single document are dropped before anything is joined. Classes of
     equal paragraphs that collide are verified on their shingle sets (100 * intersection >= percent * union) and
-    linked: all pairs in keys of up to 32 classes; in larger ones every class with two hubs, then exactly across what is
-    still apart (rare_pairs). Of each component the first occurrence (smallest doc_id) stays and those in other documents go. Runs of
+    linked, all that share a key (minhash.linked()). Of each component the first occurrence (smallest doc_id) stays and those in other documents go. Runs of
     neighbouring paragraphs that go are one span; spans below `least` words are left alone. Repeats within one
     document only are not touched.
 
@@ -234,21 +233,9 @@ def repeated_spans(docs: DataFrame, percent: int = 80, bands: int = 3, width: in
     found = cut(rows.where("live").drop("live"))
     mixed = found.where("mixed").groupBy("key", "cls").agg(F.min(F.struct("doc_id", "span")).alias("at"))
     members, n = counted(mixed.join(mixed.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "key"))
-    small = members.where(F.col("c") <= SMALL).select("key", "cls")
-    few = small.alias("x").join(small.alias("y"), "key").where("x.cls < y.cls").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    large = members.where(F.col("c") > SMALL).select(F.col("key").alias("h"), "cls", F.lit(1).alias("score"), F.lit(0).alias("label"))
-    to_hub = large.join(hubs(large), "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
     wanted = members.groupBy("cls").agg(F.min("at").alias("at")).select("at.doc_id", "at.span", "cls")
     sets = settle(class_sets(picked, wanted, width), 50_000, n)
-    links = settle(verify(few.union(to_hub).distinct(), sets, percent))
-    label = components(links.toDF("src", "dst"))
-    named = large.select("h", "cls").join(label.withColumnRenamed("id", "cls"), "cls", "left").select("h", "cls", F.coalesce("label", "cls").alias("label"))
-    several = named.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
-    apart, n_apart = counted(named.join(several, "h").select("cls", "label").distinct(), most=n)
-    if n_apart:
-        more, n_more = counted(verify(rare_pairs(apart, sets, percent), sets, percent))
-        if n_more:
-            label = components(links.union(more).toDF("src", "dst"))
+    label = linked(members.select(F.col("key").alias("h"), "c", "cls", F.lit(1).alias("score")), n, sets, percent)
     once = found.select("doc_id", "span", "cls").distinct()
     grouped = once.join(label.withColumnRenamed("id", "cls"), "cls", "left").select("doc_id", "span", F.coalesce("label", "cls").alias("component_id"))
     first = grouped.groupBy("component_id").agg(F.min("doc_id").alias("first_doc_id"))

@@ -35,7 +35,8 @@ def groups(ids, links):
 
     def find(i):
         while root[i] != i:
-            i = root[i] = root[root[i]]
+            root[i] = root[root[i]]  # in two steps: a chained assignment would set the root of the new i
+            i = root[i]
         return i
 
     for a, b in links:

@@ -7,7 +7,8 @@ import random
 import numpy as np
 import pytest
 
-from brute import near_components
+from brute import groups, near_components
+from folioscope.llm import common
 from folioscope.llm.minhash import drop_near_copies, near_dedup, op1_minhash_dedup
 from folioscope.llm.shingles import shingle_set, superminhash, word_list
 
@@ -64,6 +65,18 @@ def test_pairs_of_short_texts_of_one_template(spark):
     check(near_dedup(spark.createDataFrame(list(texts.items()), SCHEMA)), texts)
 
 
+@pytest.mark.parametrize("together", [0, 1 << 20])
+def test_components_in_one_task_and_in_many(spark, monkeypatch, together):
+    r = random.Random(5)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 480)] + [(7, 7)]
+    want = groups({v for e in edges for v in e}, edges)
+    monkeypatch.setattr(common, "TOGETHER", together)
+    got = dict(map(tuple, common.components(spark.createDataFrame(edges, "src long, dst long")).collect()))
+    assert got == {i: x for i, x in want.items() if any(i in e and e[0] != e[1] for e in edges)}
+    words = common.components(spark.createDataFrame([("b", "c"), ("é", "b")], "src string, dst string")).collect()
+    assert dict(map(tuple, words)) == {"b": "b", "c": "b", "é": "b"}
+
+
 def test_odd_rows(spark):
     long = " ".join(f"v{i % 977}a{i % 31}" for i in range(60_000))
     texts = {1: None, 2: "", 3: " \n\t", 4: "one two", 5: "ONE  two", 6: "one two three four five six", 7: long, 8: long + " end", 9: "Été a b c d e", 10: "été a b c d e"}
