@@ -62,6 +62,8 @@ def validate(records: DataFrame, metadata: dict[str, str] = METADATA, content_ty
         warn("tier1_parent", (number("$.metadata.chunk_tier") == 1) & text("$.metadata.parent_chunk_id").isNotNull()),
         error("tier2_orphan", (number("$.metadata.chunk_tier") == 2) & text("$.metadata.parent_chunk_id").isNull()),
     ]
+    items = F.from_json(F.get_json_object("json", "$.metadata.principles"), "array<variant>")
+    rules.append(error("principles", F.exists(items, lambda x: F.schema_of_variant(x) != "OBJECT<category: STRING, statement: STRING>")))
     for e in ("companies", "people", "metrics"):
         rules.append(error("entities:" + e, (k("$.metadata.entities") == OBJECT) & (F.coalesce(k("$.metadata.entities." + e), F.lit("")) != ARRAY)))
     for name, want in metadata.items():
@@ -110,3 +112,89 @@ def path_diff(base: DataFrame, other: DataFrame) -> DataFrame:
         .when((F.col("base_types") == F.col("other_types")) | (numeric("base_types") & numeric("other_types")), "same").otherwise("mismatch")
     )
     return both.select("path", status.alias("status"), "base_types", "other_types")
+
+
+def duplicate_ids(rows: DataFrame, file: str, id_: str, pos: str) -> DataFrame:
+    """Ids that a file has more than once: (file, id, copies, last), where the record at `last` is the one that counts."""
+    return rows.groupBy(file, id_).agg(F.count(F.lit(1)).alias("copies"), F.max(pos).alias("last")).where("copies > 1")
+
+
+def link_findings(rows: DataFrame, id_: str = "id", tier: str = "tier", parent: str = "parent", children: str = "children") -> DataFrame:
+    """(id, level, rule, other) of links that lead nowhere or one way only: parents that don't exist or are no first tier,
+    children that don't exist or name another parent."""
+    all_ = rows.select(F.col(id_).alias("other"), F.col(tier).alias("_t"), F.col(parent).alias("_p"))
+    up = rows.where(F.col(parent).isNotNull()).select(F.col(id_).alias("id"), F.col(parent).alias("other")).join(all_, "other", "left")
+    down = rows.select(F.col(id_).alias("id"), F.explode(children).alias("other")).join(all_, "other", "left")
+    finding = lambda level, rule: F.struct(F.lit(level).alias("level"), F.lit(rule).alias("rule"))
+    up = up.withColumn("f", F.when(F.col("_t").isNull(), finding("ERROR", "parent_not_found")).when(F.col("_t") != 1, finding("ERROR", "parent_not_tier1")))
+    down = down.withColumn("f", F.when(F.col("_t").isNull(), finding("ERROR", "child_not_found")).when(~F.col("_p").eqNullSafe(F.col("id")), finding("WARN", "child_points_elsewhere")))
+    return up.unionByName(down).where("f is not null").select("id", "f.level", "f.rule", "other")
+
+
+def signature_drift(pairs: DataFrame, group: str, pair: str) -> DataFrame:
+    """(group, extra, missing) of groups whose set of key:type pairs is not the commonest one (of equally common ones that of
+    the smallest group). One row per group is what is compared; the commonest is one row, so it is broadcast."""
+    own = pairs.groupBy(group).agg(F.array_sort(F.collect_set(pair)).alias("own"))
+    mode = own.groupBy("own").agg(F.count(F.lit(1)).alias("n"), F.min(group).alias("first")).orderBy(F.desc("n"), "first").limit(1).select(F.col("own").alias("mode"))
+    both = own.crossJoin(F.broadcast(mode))
+    diff = lambda a, b: F.array_join(F.array_sort(F.array_except(a, b)), ",")
+    return both.select(group, diff("own", "mode").alias("extra"), diff("mode", "own").alias("missing")).where("extra <> '' or missing <> ''")
+
+
+def flatten_paths(rows: DataFrame, key: str, json: str) -> DataFrame:
+    """(key, path, type) of every value of JSON texts, each once: p, p.k of objects, p[] of elements; an empty array gives
+    p[] with a null type. Recursion over any depth has no column form, so it runs on Arrow batches, row by row apart."""
+    import json as J
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    kind = lambda x: "bool" if isinstance(x, bool) else {int: "int", float: "float", str: "str", dict: "dict", list: "list"}.get(type(x), "null")
+
+    def paths(text: str) -> list:
+        try:
+            todo = [("", J.loads(text))]
+        except (TypeError, ValueError):
+            return []
+        found = {}
+        while todo:
+            path, x = todo.pop()
+            if path:
+                found[path, kind(x)] = None
+            if isinstance(x, dict):
+                todo += [(f"{path}.{k}" if path else k, v) for k, v in x.items()]
+            elif isinstance(x, list):
+                todo += [(path + "[]", v) for v in x]
+                if not x:
+                    found[path + "[]", None] = None
+        return list(found)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([(k, p, t) for k, text in zip(b[key], b[json], strict=True) for p, t in paths(text)], columns=[key, "path", "type"])
+
+    return rows.select(key, json).mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, path string, type string")
+
+
+#: What repair() puts where a field is missing or wrong.
+DEFAULTS = {"retrieval_priority": "medium", "abstraction_level": "medium", "content_type": "narrative", "letter_date": "0000-00-00"}
+
+
+def repair(records: DataFrame) -> DataFrame:
+    """records (file, pos, json) with chunk_tier, token_count and the fields of DEFAULTS made valid, and the codes of what was
+    done: E001 not JSON, E002 a field is missing, E003 a type is coerced, W001 a value is replaced by the nearest valid one."""
+    v = records.withColumn("v", F.try_parse_json("json"))
+    text = lambda k: F.try_variant_get("v", f"$.metadata.{k}", "string")
+    allowed = {"retrieval_priority": LEVELS, "abstraction_level": LEVELS, "content_type": CONTENT_TYPES}
+    out, codes = [], [F.when(F.col("v").isNull(), "E001")]
+    for k, default in DEFAULTS.items():
+        good = text(k).isin(allowed[k]) if k in allowed else text(k).rlike(r"^\d{4}-\d{2}-\d{2}$")
+        out.append(F.when(good, text(k)).otherwise(default).alias(k))
+        codes.append(F.when(F.col("v").isNotNull(), F.when(text(k).isNull(), F.lit("E002:" + k)).when(~good, F.lit("W001:" + k))))
+    for k, low, high, default in (("chunk_tier", 1, 2, 1), ("token_count", 0, None, 0)):
+        n = text(k).try_cast("bigint")
+        near = F.greatest(n, F.lit(low)) if high is None else F.least(F.greatest(n, F.lit(low)), F.lit(high))
+        out.append(F.coalesce(near, F.lit(default)).cast("bigint").alias(k))
+        coerced = kind(F.col("v"), f"$.metadata.{k}") != INTEGER
+        codes.append(F.when(F.col("v").isNotNull(), F.when(text(k).isNull(), F.lit("E002:" + k)).when(coerced, F.lit("E003:" + k)).when(near != n, F.lit("W001:" + k))))
+    return v.select("file", "pos", *out, F.array_join(F.array_compact(F.array(*codes)), ",").alias("codes"))

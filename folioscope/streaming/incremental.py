@@ -21,8 +21,24 @@ def run_once(stream: DataFrame, out: str, checkpoint: str) -> None:
 
 
 def fold_master(master: DataFrame | None, items: DataFrame, key: str = "item", year: str = "year") -> DataFrame:
-    """master(t+1) from master(t) and a year's items: first and last year seen and how often."""
-    new = items.groupBy(key).agg(F.min(year).alias("first_year"), F.max(year).alias("last_year"), F.count_distinct(year).alias("n_years"))
-    if master is None:
-        return new
-    return master.unionByName(new).groupBy(key).agg(F.min("first_year").alias("first_year"), F.max("last_year").alias("last_year"), F.sum("n_years").alias("n_years"))
+    """master(t+1) from master(t) and a year's items: the years in which each item was seen, the first and last of them and
+    their number. A year that is folded again counts once."""
+    new = items.groupBy(key).agg(F.collect_set(year).alias("years"))
+    if master is not None:
+        new = master.select(key, "years").unionByName(new).groupBy(key).agg(F.array_distinct(F.flatten(F.collect_list("years"))).alias("years"))
+    years = F.array_sort("years")
+    return new.select(key, years.alias("years"), F.array_min("years").alias("first_year"), F.array_max("years").alias("last_year"), F.size("years").cast("long").alias("n_years"))
+
+
+def reuse_snapshot(spark: SparkSession, path: str, make) -> DataFrame:
+    """The table under path if it is there, else what make() returns, written there first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
+    if not there:
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def append_log(entries: DataFrame, path: str) -> None:
+    """Entries with the time at which they are written, behind those that are there."""
+    entries.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
