@@ -165,10 +165,13 @@ def table_islands(spark, d):
     return S.islands(rows, "l_orderkey", "l_linenumber", "is_table", 2)
 
 
-@query()
+@query(
+    "with l as (" + LINES.format(s="varchar") + """), r as (select *, row_number() over (partition by l_orderkey order by l_linenumber, line) - 1 i from l), t as (select *, i - row_number() over (partition by l_orderkey order by i) g from r where starts_with(line, '$'))
+    select l_orderkey, min(i) first, max(i) last from t group by l_orderkey, g having count(*) >= 2"""
+)
 def table_blocks(spark, d):
     whole = numeric_lines(spark, d).groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "line"))), lambda x: x["line"]).alias("lines"))
-    return whole.select("l_orderkey", F.explode(S.table_blocks(F.col("lines"), least=2)).alias("b")).select("l_orderkey", "b.first", "b.last")
+    return whole.select("l_orderkey", F.explode(S.table_blocks(F.col("lines"), least=2)).alias("b")).select("l_orderkey", F.col("b.first").cast("long").alias("first"), F.col("b.last").cast("long").alias("last"))
 
 
 @query()
@@ -554,7 +557,7 @@ def kmeans_clusters(spark, d):
     return KMeans(k=8, seed=1, maxIter=10).fit(v).transform(v).select("vec_id", F.col("prediction").alias("cluster"))
 
 
-@query()
+@query(pack_sql(400, 1500, r"^[\[(]?\d+[\]).]", "select doc_id, no::bigint chunk_no, n_chars from c"))
 def stream_chunks(spark, d):
     """Documents as a stream of files, chunked once each and appended; the result is read back."""
     import tempfile
@@ -569,7 +572,7 @@ def stream_chunks(spark, d):
     base = f"{shared or tempfile.mkdtemp()}/stream-{uuid.uuid4().hex}"
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     run_once(chunks(spark, f"{d}/documents.parque[t]", schema), f"{base}/out", f"{base}/state")
-    return spark.read.parquet(f"{base}/out").select("doc_id", "chunk_no", F.length("content").alias("n_chars"))
+    return spark.read.parquet(f"{base}/out").select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.length("content").cast("long").alias("n_chars"))
 
 
 @query("select o_orderkey, percent_rank() over (order by o_totalprice, o_orderkey) >= 0.9 top_decile from orders")
