@@ -32,6 +32,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir names no shared folder")
     base = tempfile.mkdtemp(prefix="folioscope-")
     atexit.register(shutil.rmtree, base, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(base)
