@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from .common import components, counted, cut, free_name, keyed, settle, table
 from .shingles import band_keys, shingle_set, superminhash, word_list
 
-#: Buckets of up to so many classes give all their pairs; larger ones compare with hubs, again while that finds links,
-#: then classes of different components exactly (rare_pairs).
+#: Buckets of up to so many classes give all their pairs; larger ones compare with hubs, then exactly (linked()).
 SMALL = 32
 HUBS = 2
+#: Rounds with new hubs of each of the two kinds of buckets at most, before what is left is compared exactly.
+ROUNDS = 3
 
 
 def _key(words: list[bytes]) -> bytes:
@@ -61,17 +62,23 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b").where(100 * both >= percent * union).select("a", "b")
 
 
-def rare_pairs(named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes of unlike labels, among them every one at `percent` or more: a prefix filter, which loses
-    nothing. Elements have one order, rarest first, so texts that share a template alone seldom meet. Of a pair to be
-    found, the first common element has the rest of both sets for the intersection, which bounds its place: (100 +
-    percent) * (n - place) >= percent * (n of one + n of the other), and that is 2 * percent * n at least for the smaller
-    set. Elements of one set alone take their places and are not joined. named: (cls, label), one row per class."""
-    of = named.join(sets, "cls").select("cls", "label", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("x"))
+def rare_prefix(classes: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """(cls, n, left, x): of each class the elements x among which it shares one with every class at `percent` or more: a
+    prefix filter, which loses nothing. Elements have one order, rarest first, so texts that share a template alone seldom
+    meet. left: how many of the class's n elements are x or come after it. Elements of one set alone take their places and
+    are left out. classes: (cls), each once. With the number of rows."""
+    of = classes.select("cls").join(sets, "cls").select("cls", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("x"))
     shared = of.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    held = of.join(shared, "x").groupBy("cls", "label", "n").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("held"))
-    placed = held.select("cls", "label", "n", F.size("held").alias("k"), F.posexplode("held").alias("at", "e")).select("cls", "label", "n", (F.col("k") - F.col("at")).cast("long").alias("left"), F.col("e.x").alias("x"))
-    prefix = settle(placed.where(100 * F.col("left") >= percent * F.col("n")))
+    held = of.join(shared, "x").groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("held"))
+    placed = held.select("cls", "n", F.size("held").alias("k"), F.posexplode("held").alias("at", "e")).select("cls", "n", (F.col("k") - F.col("at")).cast("long").alias("left"), F.col("e.x").alias("x"))
+    return counted(placed.where(100 * F.col("left") >= percent * F.col("n")))
+
+
+def rare_pairs(prefix: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of unlike labels, among them every one at `percent` or more. Of a pair to be found, the first
+    common element has the rest of both sets for the intersection, which bounds its place: (100 + percent) * left >=
+    percent * (n of one + n of the other), and that is 2 * percent * n at least for the smaller set. prefix: rare_prefix()
+    with the label of each class."""
     x, y = prefix.where((100 + percent) * F.col("left") >= 2 * percent * F.col("n")).alias("x"), prefix.alias("y")
     smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.cls") < F.col("y.cls")))
     enough = (100 + percent) * F.least("x.left", "y.left") >= percent * (F.col("x.n") + F.col("y.n"))
@@ -88,13 +95,26 @@ def hubs(members: DataFrame, salt: int = 0) -> DataFrame:
     return found.select("h", F.negative(F.col("x.low")).alias("hub"), F.col("x.label").alias("hub_label"))
 
 
+def named(members: DataFrame, label: DataFrame) -> DataFrame:
+    """members with the label of their class, which is its own where it has no link yet."""
+    return members.join(label.withColumnRenamed("id", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+
+
+def parted(members: DataFrame) -> DataFrame:
+    """members (h, cls, score, label) of the buckets h that hold several components, with the main one: that of the class
+    that collides most."""
+    main = members.groupBy("h").agg(F.max_by("label", F.struct("score", F.negative("cls"))).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h", "main")
+    return members.join(main, "h")
+
+
 def linked(buckets: DataFrame, n: int, sets: DataFrame, percent: int) -> DataFrame:
     """(id, label) of classes with a link: the components of all pairs of a bucket that are confirmed on full sets.
 
     buckets: (h, c, cls, score), n rows, c of them with h. All pairs in buckets of up to SMALL classes; in larger ones every
-    class with the hubs, then, as long as that finds links, of buckets that hold several components every class outside
-    the main one with new hubs. Each round is linear in the bucket and a hub takes in all that is near it, so that few links
-    are left for the last step, which compares what is still apart exactly (rare_pairs); no pair of a bucket is left out.
+    class with the hubs, then up to ROUNDS times, as long as that finds links, in buckets of several components every class
+    with new hubs from outside the main one. The classes that are still apart do the same in buckets by their rare elements,
+    which part families that share common ones. Each round is linear in its buckets and a hub takes in what is near it, so
+    few links are left for the last step, which compares all that is still apart exactly (rare_pairs): no pair is left out.
     """
     small = buckets.where(F.col("c") <= SMALL).select("h", "cls")
     few = small.alias("x").join(small.alias("y"), "h").where("x.cls < y.cls").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
@@ -102,22 +122,29 @@ def linked(buckets: DataFrame, n: int, sets: DataFrame, percent: int) -> DataFra
     to_hub = large.join(hubs(large.withColumn("label", F.lit(0))), "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
     links = settle(verify(few.union(to_hub).distinct(), sets, percent))
     label = components(links.toDF("src", "dst"))
-    salt = 0
-    while n_large:
-        salt += 1
-        named = large.join(label.withColumnRenamed("id", "cls"), "cls", "left").select("h", "cls", "score", F.coalesce("label", "cls").alias("label"))
-        main = named.groupBy("h").agg(F.max_by("label", F.struct("score", F.negative("cls"))).alias("main"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h", "main")
-        rest = named.join(main, "h")
-        pairs = rest.join(hubs(rest.where("label <> main"), salt), "h").where("label <> hub_label").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-        more, n_more = counted(verify(pairs, sets, percent), most=HUBS * n_large)
-        if not n_more:
-            apart, n_apart = counted(rest.select("cls", "label").distinct(), most=n_large)
-            if n_apart:
-                more, n_more = counted(verify(rare_pairs(apart, sets, percent), sets, percent))
-            return components(links.union(more).toDF("src", "dst")) if n_more else label
-        links = links.union(more)
-        label = components(links.toDF("src", "dst"))
-    return label
+    if not n_large:
+        return label
+
+    def rounds(members: DataFrame, rows: int, links: DataFrame, label: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
+        for k in range(ROUNDS):
+            rest = parted(named(members, label))
+            pairs = rest.join(hubs(rest.where("label <> main"), salt + k), "h").where("label <> hub_label").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
+            more, found = counted(verify(pairs, sets, percent), most=HUBS * rows)
+            if not found:
+                break
+            links = links.union(more)
+            label = components(links.toDF("src", "dst"))
+        return links, label
+
+    links, label = rounds(large, n_large, links, label, 1)
+    apart, n_apart = counted(parted(named(large, label)).select("cls").distinct(), most=n_large)
+    if not n_apart:
+        return label
+    prefix, rows = rare_prefix(apart, sets, percent)
+    members = prefix.select(F.col("x").alias("h"), "cls", F.col("left").alias("score"))
+    links, label = rounds(members, rows, links, label, 1 + ROUNDS)
+    more, found = counted(verify(rare_pairs(named(prefix, label), percent), sets, percent))
+    return components(links.union(more).toDF("src", "dst")) if found else label
 
 
 def near_dedup(docs: DataFrame, percent: int = 85, bands: int = 21, rows: int = 6, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
