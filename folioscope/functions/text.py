@@ -8,6 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The patterns, months and word lists in this module must be these for equal results; lexicons are parameters.
+
+
 @dataclass(frozen=True)
 class Profile:
     """Sizes in tokens of four characters, and which marks a table line has."""

@@ -76,3 +76,17 @@ def metric_records(wide: DataFrame, ids: list[str], metrics: dict = METRICS) ->
 def _safe(formula: str) -> str:
     top, slash, bottom = formula.partition(" / ")
     return f"try_divide(cast({top} as double), cast({bottom} as double))" if slash else formula
+
+
+#: Units by the words that a header has for them.
+UNITS = {"bn": 1e9, "billion": 1e9, "mn": 1e6, "million": 1e6, "thousand": 1e3}
+
+
+def unit_normalised(value: Column, header: Column, plain_from: float = 1e7) -> list[Column]:
+    """value in single units and what was done: scaled by the unit of the header, or kept where the header names one but
+    the value is too large for it (statements say Bn and hold single units)."""
+    low, factor = F.lower(F.coalesce(header, F.lit(""))), F.lit(1.0)
+    for word, f in UNITS.items():
+        factor = F.when(low.rlike(rf"\b{word}\b"), f).otherwise(factor)
+    stays = (factor > 1) & (F.abs(value) >= plain_from)
+    return [F.when(stays, value).otherwise(value * factor).alias("value"), F.when(stays, "kept").when(factor > 1, "scaled").otherwise("plain").alias("unit")]

@@ -55,3 +55,11 @@ def scorecard(scores: DataFrame, id_: str, weights: dict[str, float], gates: dic
     for k, least in gates.items():
         passed = passed & (F.col(k) >= least)
     return scores.select(id_, F.round(total, 6).alias("score"), F.when((total >= accept) & passed, "ACCEPT").when(total >= revise, "REVISE").otherwise("REJECT").alias("decision"))
+
+
+def same_topic(seeds: DataFrame, rows: DataFrame, key: str, topic: str, year: str, reach: int = 1) -> DataFrame:
+    """(seed, key, distance) of rows of a seed's topic within `reach` years of it, itself left out. The seed's years are
+    spelled out, so the join is on topic and year."""
+    s = seeds.select(F.col(key).alias("seed"), F.col(topic).alias("_t"), F.col(year).alias("_y"), F.explode(F.sequence(F.col(year) - reach, F.col(year) + reach)).alias("_o"))
+    near = rows.join(s, (F.col(topic) == F.col("_t")) & (F.col(year) == F.col("_o")) & (F.col(key) != F.col("seed")))
+    return near.select("seed", key, F.abs(F.col("_o") - F.col("_y")).alias("distance"))

@@ -261,3 +261,29 @@ def word_windows(text: Column, size: int = 150) -> Column:
     """Chunks of `size` words; the last one has what is left."""
     words = F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
     return F.element_at(F.transform(F.array(words), lambda w: F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(0), F.floor((F.size(w) - 1) / size).cast("int")), lambda k: F.array_join(F.slice(w, k * size + 1, size), " ")))), 1)
+
+
+def is_block_line(line: Column) -> Column:
+    """Whether a line belongs to a table by either rule of the tiers: a dot leader, or aligned columns with at least two
+    numbers."""
+    return line.rlike(r"[.]{3,}|(?:[.] ){3,}") | (T.strip(line).rlike(r"\S {2,}\S") & (F.regexp_count(line, F.lit(r"\$?\d[\d,.]*%?")) >= 2))
+
+
+def table_block_lines(lines: Column, least: int = 3) -> Column:
+    """For each line whether it is in a run of at least `least` table lines; a line that is none, blank ones too, ends it."""
+    marks = F.transform(lines, lambda x: (T.strip(x) != "") & is_block_line(x))
+    around = lambda m, i: F.exists(F.sequence(i - (least - 1), i), lambda a: (a >= 0) & (a + least <= F.size(m)) & F.forall(F.slice(m, F.greatest(a, F.lit(0)) + 1, least), lambda v: v))
+    return F.element_at(F.transform(F.array(marks), lambda m: F.transform(m, lambda v, i: v & around(m, i))), 1)
+
+
+def without_leading_table(lines: Column) -> Column:
+    """Lines without the table that a letter begins with: what comes before its first prose line, if that has a table."""
+    flags = table_block_lines(lines)
+
+    def cut(f: Column) -> Column:
+        prose = F.array_position(F.transform(lines, lambda x, i: (T.strip(x) != "") & ~F.get(f, i)), True)
+        first = F.array_position(F.transform(lines, lambda x: T.strip(x) != ""), True)
+        leads = F.coalesce(F.get(f, (first - 1).cast("int")), F.lit(False))
+        return F.when(leads, F.when(prose > 0, F.slice(lines, prose.cast("int"), F.size(lines))).otherwise(F.array().cast("array<string>"))).otherwise(lines)
+
+    return F.element_at(F.transform(F.array(flags), cut), 1)

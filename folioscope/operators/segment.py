@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
+# The marker and the words that must be these for equal results.
 BREAK = "[[PAGE_BREAK]]"
 STRINGS = "array<string>"
 CONTINUES = "contracts people shares and or the a an to of in that which who with for from value at by as on this these those it".split()

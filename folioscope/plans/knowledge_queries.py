@@ -231,3 +231,22 @@ def trend_and_volatility(spark, d):
     s = read(spark, d, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(F.sum("o_totalprice").alias("v"))
     g = s.withColumn("g", F.col("v") / F.lag("v").over(Window.partitionBy("o_custkey").orderBy("y")) - 1)
     return g.groupBy("o_custkey").agg(F.round(F.regr_slope("v", "y"), 4).alias("slope"), F.round(F.stddev_samp("g"), 6).alias("volatility"))
+
+
+@query(
+    """with o as (select o_orderkey, concat(o_custkey, o_orderpriority) topic, year(o_orderdate) y from orders)
+    select a.o_orderkey seed, b.o_orderkey, abs(a.y - b.y) distance from o a join o b on a.topic = b.topic and abs(a.y - b.y) <= 1 and a.o_orderkey <> b.o_orderkey where a.o_orderkey % 20 = 0"""
+)
+def same_topic(spark, d):
+    """Items of a seed's topic in its own and the neighbouring years; seeds are a stated set."""
+    o = read(spark, d, "orders").select("o_orderkey", F.concat("o_custkey", "o_orderpriority").alias("topic"), F.year("o_orderdate").alias("y"))
+    return R.same_topic(o.where("o_orderkey % 20 = 0"), o, "o_orderkey", "topic", "y")
+
+
+UNIT = "['Net sales (Bn. VND)', 'Net sales (million)', 'Units', 'Cost (bn)'][1 + c_custkey % 4]"
+
+
+@query("select c_custkey, [2e9, 2e6, 2.0, 3e10][1 + c_custkey % 4] \"value\", ['scaled', 'scaled', 'plain', 'kept'][1 + c_custkey % 4] unit from customer")
+def unit_normalisation(spark, d):
+    k = F.col("c_custkey")
+    return picked(spark, d, UNIT).select("c_custkey", *N.unit_normalised(F.when(k % 4 == 3, 3e10).otherwise(2.0), F.col("x")))

@@ -205,3 +205,17 @@ def word_windows(spark, d):
 @query("select conv_id, turn, coalesce(string_split(lag(text) over (partition by conv_id order by turn), chr(10) || chr(10))[-1], '') overlap from conversations")
 def chunk_overlap(spark, d):
     return C.overlapped(read(spark, d, "conversations"), "conv_id", "turn", "text").select("conv_id", "turn", "overlap")
+
+
+LEADING = ["'Year ..... 1,000   2,000'", "'1976 ..... 12   13'", "case when c_custkey % 3 = 0 then 'Only text here.' else 'Shares  4  5' end", "''", "'We begin.'", "'a  1  2'", "'b  3  4'", "'c . . . . 5'", "'The end.'"]
+
+
+@query(
+    """select c_custkey, case when c_custkey % 3 = 0 then '00000' else '11100' end || '1110' flags, case when c_custkey % 3 = 0 then 9 else 5 end n_left from customer"""
+)
+def leading_tables(spark, d):
+    """Lines of tables by the rules of the tiers, and letters without the table that they begin with."""
+    read(spark, d, "customer").createOrReplaceTempView("folioscope_customers")
+    one = spark.sql(f"select c_custkey, array({', '.join(LEADING)}) lines from folioscope_customers")
+    flags = F.array_join(F.transform(C.table_block_lines(F.col("lines")), lambda v: v.cast("int").cast("string")), "")
+    return one.select("c_custkey", flags.alias("flags"), F.size(C.without_leading_table(F.col("lines"))).alias("n_left"))
