@@ -117,3 +117,23 @@ def test_stage(spark, sf_dir):
 def test_rates_have_no_nulls(spark):
     df = spark.createDataFrame([(1, None), (2, "a")], SCHEMA)
     assert all(v is not None for r in rates(base_stats(df)).collect() for v in r)
+
+
+def test_compiled_score_equals_the_model_on_the_table(spark, sf_dir):
+    """The column expression and the same rules and weights in numpy give every document one score."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = E.fit_quality(spark, docs, sf_dir)
+    x = {r["doc_id"]: r for r in rates(base_stats(docs)).collect()}
+    assert model[1]
+    for r in E.classify(docs, model).collect():
+        total = model[0] + sum(w for w, rule in model[1] if all((x[r["doc_id"]][f] > c) if op == ">" else (x[r["doc_id"]][f] <= c) for f, op, c in rule))
+        assert abs(r["score"] - 1 / (1 + np.exp(-total))) < 1e-9
+
+
+def test_verdict_on_the_held_out_fold(spark, sf_dir):
+    """Of held-out documents that pass the base limits the list keeps most good ones and rejects most bad ones."""
+    d = sf_dir.replace("sf0.001", "sf0.01")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    rows = [r for r in Q.op7_quality_rules(spark, d).collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 and labels.get(r["doc_id"]) is not None and not r["base_failed"]]
+    good, bad = [r["kept"] for r in rows if labels[r["doc_id"]]], [r["kept"] for r in rows if not labels[r["doc_id"]]]
+    assert np.mean(good) > 0.9 and np.mean(bad) < 0.3, (np.mean(good), np.mean(bad))
