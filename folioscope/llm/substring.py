@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import counted, cut, settle, table
+from .common import counted, settle, table, written
 from .minhash import linked
 from .shingles import HASHES, ODD, mix, windows, word_list
 
@@ -211,6 +211,16 @@ def class_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return docs.join(of, "doc_id").select("text", "spans", "classes").mapInArrow(run, "cls long, shingles array<long>").dropDuplicates(["cls"])
 
 
+def live_paragraphs(docs: DataFrame, bands: int, width: int) -> DataFrame:
+    """(doc_id, span, cls, key, mixed): one row per paragraph and band whose key several documents have; mixed: whether
+    they have it with several classes."""
+    group = Window.partitionBy("part")
+    live = (F.max("known").over(group) > 0) | (F.min("doc_id").over(group) != F.max("doc_id").over(group))
+    mixed = (F.col("known") > 1) | (F.min("cls").over(group) != F.max("cls").over(group))
+    rows = banded(docs, bands, width).select("doc_id", "span", "cls", "key", live.alias("live"), mixed.alias("mixed"))
+    return written(rows.where("live").drop("live"), "paragraphs")
+
+
 def repeated_spans(docs: DataFrame, percent: int = 80, bands: int = 3, width: int = 5, least: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans to remove: (doc_id, start, n_words, first_doc_id, component_id), in words of the lower-cased text from 0.
 
@@ -226,11 +236,7 @@ def repeated_spans(docs: DataFrame, percent: int = 80, bands: int = 3, width: in
     ignored; an empty table gives no rows.
     """
     picked = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("doc_id is not null")
-    group = Window.partitionBy("part")
-    live = (F.max("known").over(group) > 0) | (F.min("doc_id").over(group) != F.max("doc_id").over(group))
-    mixed = (F.col("known") > 1) | (F.min("cls").over(group) != F.max("cls").over(group))
-    rows = banded(picked, bands, width).select("doc_id", "span", "cls", "key", live.alias("live"), mixed.alias("mixed"))
-    found = cut(rows.where("live").drop("live"))
+    found = live_paragraphs(picked, bands, width)
     mixed = found.where("mixed").groupBy("key", "cls").agg(F.min(F.struct("doc_id", "span")).alias("at"))
     members, n = counted(mixed.join(mixed.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "key"))
     wanted = members.groupBy("cls").agg(F.min("at").alias("at")).select("at.doc_id", "at.span", "cls")
