@@ -16,6 +16,8 @@ from .shingles import band_keys, shingle_set, superminhash, word_list
 #: Buckets of up to so many classes give all their pairs; larger ones compare with hubs, then exactly (linked()).
 SMALL = 32
 HUBS = 2
+#: A candidate pair brings two sets along, so that many fewer of them go to a task than of narrow rows.
+WIDE = 20
 #: Rounds with new hubs of each of the two kinds of buckets at most, before what is left is compared exactly.
 ROUNDS = 3
 
@@ -129,7 +131,7 @@ def linked(buckets: DataFrame, n: int, sets: DataFrame, percent: int) -> DataFra
         for k in range(ROUNDS):
             rest = parted(named(members, label))
             pairs = rest.join(hubs(rest.where("label <> main"), salt + k), "h").where("label <> hub_label").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-            more, found = counted(verify(pairs, sets, percent), most=HUBS * rows)
+            more, found = counted(verify(pairs, sets, percent), most=WIDE * HUBS * rows)
             if not found:
                 break
             links = links.union(more)
