@@ -89,12 +89,20 @@ def rare_pairs(prefix: DataFrame, percent: int) -> DataFrame:
 
 
 def hubs(members: DataFrame, salt: int = 0) -> DataFrame:
-    """(h, hub, hub_label): the HUBS classes of each bucket that collide most, one from each of as many slices by hash.
-    Maxima are partial, so no task holds a bucket. members: (h, cls, score, label)."""
+    """(h, hubs): the HUBS classes of each bucket that collide most, one from each of as many slices by hash, with their
+    labels. Maxima are partial, so no task holds a bucket. members: (h, cls, score, label)."""
     slot = F.pmod(F.xxhash64("cls", F.lit(salt)), F.lit(HUBS))
     best = [F.max(F.when(slot == k, F.struct("score", F.negative("cls").alias("low"), "label"))).alias(f"x{k}") for k in range(HUBS)]
-    found = members.groupBy("h").agg(*best).select("h", F.explode(F.array_compact(F.array(*[f"x{k}" for k in range(HUBS)]))).alias("x"))
-    return found.select("h", F.negative(F.col("x.low")).alias("hub"), F.col("x.label").alias("hub_label"))
+    found = members.groupBy("h").agg(*best).select("h", F.array_compact(F.array(*[f"x{k}" for k in range(HUBS)])).alias("x"))
+    return found.select("h", F.transform("x", lambda x: F.struct(F.negative(x["low"]).alias("hub"), x["label"].alias("label"))).alias("hubs"))
+
+
+def hub_pairs(members: DataFrame, of: DataFrame) -> DataFrame:
+    """(a, b): every class with the hubs of its buckets (hubs()) that have another label, each pair once. A member of a
+    bucket gives one row at most, and of a class's buckets with the same hubs one goes on."""
+    other = lambda x: x["label"] != F.col("label")
+    met = members.join(of, "h").where(F.exists("hubs", other)).select("cls", F.filter("hubs", other).alias("hubs")).distinct()
+    return met.select(F.col("cls").alias("a"), F.explode("hubs.hub").alias("b")).distinct()
 
 
 def named(members: DataFrame, label: DataFrame) -> DataFrame:
@@ -102,6 +110,11 @@ def named(members: DataFrame, label: DataFrame) -> DataFrame:
     return members.join(label.withColumnRenamed("id", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
 
+def labelled(members: DataFrame, rows: int, label: DataFrame) -> DataFrame:
+    """named() of up to so many rows, computed once: a round reads it several times."""
+    return cut(named(members, label).coalesce(max(1, -(-rows // 100_000))))
+
+
 def parted(members: DataFrame) -> DataFrame:
     """members (h, cls, score, label) of the buckets h that hold several components, with the main one: that of the class
     that collides most."""
@@ -117,35 +130,45 @@ def linked(buckets: DataFrame, n: int, sets: DataFrame, percent: int) -> DataFra
     with new hubs from outside the main one. The classes that are still apart do the same in buckets by their rare elements,
     which part families that share common ones. Each round is linear in its buckets and a hub takes in what is near it, so
     few links are left for the last step, which compares all that is still apart exactly (rare_pairs): no pair is left out.
+    Labels are joined once a round, to the buckets that still hold several components.
     """
     small = buckets.where(F.col("c") <= SMALL).select("h", "cls")
     few = small.alias("x").join(small.alias("y"), "h").where("x.cls < y.cls").select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
     large, n_large = counted(buckets.where(F.col("c") > SMALL).select("h", "cls", "score"), most=n)
-    to_hub = large.join(hubs(large.withColumn("label", F.lit(0))), "h").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+    alone = large.withColumn("label", F.col("cls"))
+    to_hub = hub_pairs(alone, hubs(alone))
     links = settle(verify(few.union(to_hub).distinct(), sets, percent))
     label = components(links.toDF("src", "dst"))
     if not n_large:
         return label
 
-    def rounds(members: DataFrame, rows: int, links: DataFrame, label: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
-        for k in range(ROUNDS):
-            rest = parted(named(members, label))
-            pairs = rest.join(hubs(rest.where("label <> main"), salt + k), "h").where("label <> hub_label").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
+    def rounds(members: DataFrame, rows: int, links: DataFrame, label: DataFrame, salt: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+        """Links and labels after the rounds, and the members that are still parted by these, with their number."""
+        for k in range(ROUNDS + 1):
+            rest, left = counted(parted(labelled(members, rows, label)), most=rows)
+            if not left or k == ROUNDS:
+                break
+            pairs = hub_pairs(rest, hubs(rest.where("label <> main"), salt + k))
+            # The sets and labels of all classes are read each time, so that the number of tasks does not follow what is left.
             more, found = counted(verify(pairs, sets, percent), most=WIDE * HUBS * rows)
             if not found:
                 break
             links = links.union(more)
             label = components(links.toDF("src", "dst"))
-        return links, label
+            members = rest.drop("label", "main")  # links only merge components: a bucket of one stays so
+        return links, label, rest, left
 
-    links, label = rounds(large, n_large, links, label, 1)
-    apart, n_apart = counted(parted(named(large, label)).select("cls").distinct(), most=n_large)
-    if not n_apart:
+    links, label, rest, n_rest = rounds(large, n_large, links, label, 1)
+    if not n_rest:
+        return label
+    prefix, rows = rare_prefix(rest.select("cls").distinct(), sets, percent)
+    members = prefix.select(F.col("x").alias("h"), "cls", F.col("left").alias("score"), "n")
+    links, label, rest, n_rest = rounds(members, rows, links, label, 1 + ROUNDS)
+    if not n_rest:
         return label
-    prefix, rows = rare_prefix(apart, sets, percent)
-    members = prefix.select(F.col("x").alias("h"), "cls", F.col("left").alias("score"))
-    links, label = rounds(members, rows, links, label, 1 + ROUNDS)
-    more, found = counted(verify(rare_pairs(named(prefix, label), percent), sets, percent))
+    # An element whose classes have one label gives no pair, so what is left of the prefixes is enough.
+    left = rest.select(F.col("h").alias("x"), "cls", F.col("score").alias("left"), "n", "label")
+    more, found = counted(verify(rare_pairs(left, percent), sets, percent))
     return components(links.union(more).toDF("src", "dst")) if found else label
 
 

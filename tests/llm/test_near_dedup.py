@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from brute import groups, near_components
-from folioscope.llm import common
+from folioscope.llm import common, minhash
 from folioscope.llm.minhash import drop_near_copies, near_dedup, op1_minhash_dedup
 from folioscope.llm.shingles import shingle_set, superminhash, word_list
 
@@ -65,6 +65,34 @@ def test_pairs_of_short_texts_of_one_template(spark):
     check(near_dedup(spark.createDataFrame(list(texts.items()), SCHEMA)), texts)
 
 
+def test_labels_are_joined_once_a_round(spark, monkeypatch):
+    """Two families that stay apart in their large buckets: each join to the labels is computed once, whatever reads it,
+    and gives one row for each member of a bucket."""
+    r = random.Random(6)
+    base, texts = [f"t{k}" for k in range(304)], {}
+    for i in range(120):
+        texts[i] = " ".join(base + [f"u{i}x{r.randrange(9999)}" for _ in range(28)])
+    other = [f"o{k}" for k in range(160)]
+    for i in range(120, 200):
+        texts[i] = " ".join(other[:-1] + [f"e{i}"])
+    given, made, plain = [], spark.sparkContext.accumulator(0), minhash.named
+
+    def named(members, label):
+        given.append(members.count())
+        joined = plain(members, label)
+
+        def run(batches):
+            for b in batches:
+                made.add(b.num_rows)
+                yield b
+
+        return joined.mapInArrow(run, joined.schema)
+
+    monkeypatch.setattr(minhash, "named", named)
+    check(near_dedup(spark.createDataFrame(list(texts.items()), SCHEMA)), texts)
+    assert len(given) >= 2 and made.value == sum(given), (given, made.value)
+
+
 @pytest.mark.parametrize("together", [0, 1 << 20])
 def test_components_in_one_task_and_in_many(spark, monkeypatch, together):
     r = random.Random(5)
