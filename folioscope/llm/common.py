@@ -153,7 +153,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
                     yield pd.DataFrame({"id": ids[at : at + 100_000], "label": label[at : at + 100_000]})
 
         kind = edges.schema["src"].dataType.simpleString()
-        return settle(pairs.coalesce(1).mapInPandas(together, f"id {kind}, label {kind}"))
+        return cut(pairs.coalesce(1).mapInPandas(together, f"id {kind}, label {kind}"))
     both = settle(pairs.union(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), most=2 * n)
     labels, n = counted(both.groupBy(F.col("src").alias("id")).agg(F.least(F.first("src"), F.min("dst")).alias("label")), most=2 * n)
     for _ in range(rounds):

@@ -7,6 +7,7 @@ import random
 import numpy as np
 
 from brute import lower, shingles, words
+from folioscope.llm.common import components
 from folioscope.llm.shingles import word_hashes
 from folioscope.llm.substring import Met, op2_substring_dedup, paragraphs, repeated_spans
 
@@ -139,6 +140,22 @@ def test_whole_table_spans_are_in_their_documents(spark, sf_dir):
                 assert sum(s["n_words"] for s in by[i]) == len(texts[i]), i
 
 
+def test_a_path_that_only_spark_reads(spark, sf_dir):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./in", f"file://{sf_dir}")
+    got, want = (sorted(map(tuple, op2_substring_dedup(spark, d).collect())) for d in ("viewfs://store/in", sf_dir))
+    assert got == want and got
+
+
+def test_components_of_few_links_are_not_counted_again(spark):
+    """The driver keeps plans and code of every query, and linked() asks for components after each round."""
+    edges = spark.createDataFrame([(1, 2), (2, 3), (5, 6)], "src long, dst long")
+    spark.sparkContext.setJobGroup("few links", "")
+    assert sorted(map(tuple, components(edges).collect())) == [(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)]
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few links"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 6, jobs
+
+
 def test_odd_rows(spark):
     same = " ".join(f"w{i}" for i in range(100))
     rows = [(1, None), (2, ""), (3, " \n"), (4, same), (5, same.upper()), (5, same), (None, same), (6, "short text"), (7, "short text"), (8, "x " * 100_000)]
