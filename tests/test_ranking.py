@@ -6,7 +6,9 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 
+from compare import duck_rows, spark_rows
 from folioscope.operators import retrieval as O
+from folioscope.plans.catalogue import ORACLE_SQL, QUERIES
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -43,3 +45,11 @@ def test_no_pair_is_a_row(spark, sf_dir):
     q = v.selectExpr("vec_id query_id", "embedding query_embedding")
     plans = [O.vector_top_k(v, q, 3, *sizes)._jdf.queryExecution().optimizedPlan().toString() for sizes in ((10, 10), (100000, 100000))]
     assert "NOT (vec_id" not in plans[0] and plans[0].count("\n") == plans[1].count("\n") and "CoGroup" in plans[0]
+
+
+def test_hybrid_with_a_zero_vector(spark, tmp_path):
+    """The SQL ranks NaN first; division by zero was an error before."""
+    rows = [(i, [float((i * k) % 7 - 3) for k in range(1, 5)] if i % 40 else [0.0] * 4, i % 3) for i in range(200)]
+    spark.createDataFrame(rows, SCHEMA + ", label int").coalesce(1).write.parquet(str(tmp_path / "out"))
+    next((tmp_path / "out").glob("*.parquet")).rename(tmp_path / "embeddings.parquet")
+    assert spark_rows(QUERIES["hybrid_rrf"](spark, str(tmp_path))) == duck_rows(ORACLE_SQL["hybrid_rrf"], str(tmp_path))
