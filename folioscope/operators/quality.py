@@ -21,58 +21,65 @@ CONTENT_TYPES = ["philosophy", "narrative", "financial_table", "performance_summ
 
 def kind(json: Column, path: str) -> Column:
     """array, object, string, boolean, integer, double or null of the value at a path; SQL null where it is missing."""
-    found = F.try_variant_get(json, path, "variant")
-    s = F.schema_of_variant(found)
-    return (
-        F.when(found.isNull(), F.lit(None).cast("string"))
+    return kind_of(F.try_variant_get(json, path, "variant"))
+
+
+def kind_of(value: Column) -> Column:
+    """kind of a variant. Its schema is told once: as an argument, since a chain of conditions tells it in each."""
+    named = lambda s: (
+        F.when(s.isNull(), F.lit(None).cast("string"))
         .when(s.startswith("ARRAY"), ARRAY).when(s.startswith("OBJECT"), OBJECT).when(s == "STRING", STRING).when(s == "BOOLEAN", BOOLEAN)
         .when(s == "BIGINT", INTEGER).when(s == "VOID", "null").otherwise("double")
     )
+    return F.get(F.transform(F.array(F.schema_of_variant(value)), named), F.lit(0))
 
 
 def validate(records: DataFrame, metadata: dict[str, str] = METADATA, content_types: list[str] = CONTENT_TYPES) -> DataFrame:
     """(file, pos, chunk_id, level, rule) from (file, pos, json string). A text that is not JSON or not an object is one
-    finding. All rules of a record come from one array, so the table is scanned once."""
+    finding. All rules of a record come from one array, so the table is scanned once; a record is parsed once, and the kinds
+    of its metadata are told once, whatever the number of rules."""
     v = records.withColumn("v", F.try_parse_json("json"))
+    v = v.withColumn("m", F.try_variant_get("v", "$.metadata", "map<string,variant>"))
+    v = v.withColumn("kinds", F.transform_values("m", lambda _, x: kind_of(x))).withColumn("id_kind", kind(F.col("v"), "$.chunk_id")).withColumn("text_kind", kind(F.col("v"), "$.content"))
     text = lambda p: F.try_variant_get("v", p, "string")
     number = lambda p: F.try_variant_get("v", p, "bigint")
     boolean = lambda p: F.try_variant_get("v", p, "boolean")
     finding = lambda level, rule, cond: F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(level).alias("level"), F.lit(rule).alias("rule")))
     error, warn = (lambda r, c: finding("ERROR", r, c)), (lambda r, c: finding("WARN", r, c))
-    k = lambda p: kind(F.col("v"), p)
-    keys = F.json_object_keys(F.get_json_object("json", "$.metadata"))
-    is_object = k("$.metadata") == OBJECT
+    there = lambda p: F.try_variant_get("v", p, "variant").isNotNull()
+    at = lambda name: F.try_element_at("kinds", F.lit(name))
+    is_object = F.col("m").isNotNull()
     rules = [
-        error("missing_key:" + p, k("$." + p).isNull()) for p in ("chunk_id", "content", "metadata")
+        error("missing_key:" + p, ~there("$." + p)) for p in ("chunk_id", "content", "metadata")
     ] + [
-        error("wrong_type:chunk_id", k("$.chunk_id") != STRING), error("wrong_type:content", k("$.content") != STRING), error("metadata_not_object", k("$.metadata") != OBJECT),
-        warn("chunk_id_format", (k("$.chunk_id") == STRING) & ~text("$.chunk_id").rlike(r"^\d{4}-S\d{2}-T[12]-\d{3}$")),
-        warn("content_short", (k("$.content") == STRING) & (F.length(F.trim(text("$.content"))) < 80)),
-        warn("content_long", (k("$.content") == STRING) & (F.length(text("$.content")) > 25000)),
-        error("unexpected_keys", is_object & (F.size(F.array_except(keys, F.array(*map(F.lit, metadata)))) > 0)),
+        error("wrong_type:chunk_id", F.col("id_kind") != STRING), error("wrong_type:content", F.col("text_kind") != STRING), error("metadata_not_object", there("$.metadata") & ~is_object),
+        warn("chunk_id_format", (F.col("id_kind") == STRING) & ~text("$.chunk_id").rlike(r"^\d{4}-S\d{2}-T[12]-\d{3}$")),
+        warn("content_short", (F.col("text_kind") == STRING) & (F.length(F.trim(text("$.content"))) < 80)),
+        warn("content_long", (F.col("text_kind") == STRING) & (F.length(text("$.content")) > 25000)),
+        error("unexpected_keys", is_object & (F.size(F.array_except(F.map_keys("m"), F.array(*map(F.lit, metadata)))) > 0)),
         error("tier", is_object & ~number("$.metadata.chunk_tier").isin(1, 2)),
-        error("content_type", (k("$.metadata.content_type") == STRING) & ~text("$.metadata.content_type").isin(content_types)),
-        error("retrieval_priority", (k("$.metadata.retrieval_priority") == STRING) & ~text("$.metadata.retrieval_priority").isin(LEVELS)),
-        error("abstraction_level", (k("$.metadata.abstraction_level") == STRING) & ~text("$.metadata.abstraction_level").isin(LEVELS)),
-        error("table_flag", boolean("$.metadata.has_table") != (k("$.metadata.table_data[0]").isNotNull())),
+        error("content_type", (at("content_type") == STRING) & ~text("$.metadata.content_type").isin(content_types)),
+        error("retrieval_priority", (at("retrieval_priority") == STRING) & ~text("$.metadata.retrieval_priority").isin(LEVELS)),
+        error("abstraction_level", (at("abstraction_level") == STRING) & ~text("$.metadata.abstraction_level").isin(LEVELS)),
+        error("table_flag", boolean("$.metadata.has_table") != there("$.metadata.table_data[0]")),
         error("table_type", (text("$.metadata.content_type") == "financial_table") & ~boolean("$.metadata.has_table")),
         error("tier_of_id", number("$.metadata.chunk_tier") != F.regexp_extract(text("$.chunk_id"), r"-T(\d)-", 1).try_cast("bigint")),
         error("span", ~((number("$.metadata.source_span.start_char") < number("$.metadata.source_span.end_char_exclusive")) | ((number("$.metadata.source_span.start_char") == 0) & (number("$.metadata.source_span.end_char_exclusive") == 0)))),
-        error("letter_date", (k("$.metadata.letter_date") == STRING) & ~text("$.metadata.letter_date").rlike(r"^\d{4}-\d{2}-\d{2}$")),
+        error("letter_date", (at("letter_date") == STRING) & ~text("$.metadata.letter_date").rlike(r"^\d{4}-\d{2}-\d{2}$")),
         warn("tier1_parent", (number("$.metadata.chunk_tier") == 1) & text("$.metadata.parent_chunk_id").isNotNull()),
         error("tier2_orphan", (number("$.metadata.chunk_tier") == 2) & text("$.metadata.parent_chunk_id").isNull()),
     ]
     items = F.from_json(F.get_json_object("json", "$.metadata.principles"), "array<variant>")
     rules.append(error("principles", F.exists(items, lambda x: F.schema_of_variant(x) != "OBJECT<category: STRING, statement: STRING>")))
     for e in ("companies", "people", "metrics"):
-        rules.append(error("entities:" + e, (k("$.metadata.entities") == OBJECT) & (F.coalesce(k("$.metadata.entities." + e), F.lit("")) != ARRAY)))
+        rules.append(error("entities:" + e, (at("entities") == OBJECT) & (F.coalesce(kind(F.col("v"), "$.metadata.entities." + e), F.lit("")) != ARRAY)))
     for name, want in metadata.items():
-        at, plain = k("$.metadata." + name), want.rstrip("?")
-        rules.append(error("missing_metadata:" + name, is_object & at.isNull()))
+        plain = want.rstrip("?")
+        rules.append(error("missing_metadata:" + name, is_object & at(name).isNull()))
         allowed = [plain] + ["null"] * want.endswith("?") + [BOOLEAN] * (plain == INTEGER)  # a boolean passes as an integer
-        rules.append(error("metadata_type:" + name, is_object & ~at.isin(allowed)))
+        rules.append(error("metadata_type:" + name, is_object & ~at(name).isin(allowed)))
     whole = F.when(F.col("v").isNull(), F.array(F.struct(F.lit("ERROR").alias("level"), F.lit("not_json").alias("rule")))).when(
-        kind(F.col("v"), "$") != OBJECT, F.array(F.struct(F.lit("ERROR").alias("level"), F.lit("not_object").alias("rule")))
+        F.try_variant_get("v", "$", "map<string,variant>").isNull(), F.array(F.struct(F.lit("ERROR").alias("level"), F.lit("not_object").alias("rule")))
     )
     found = F.coalesce(whole, F.array_compact(F.array(*rules)))
     return v.select("file", "pos", text("$.chunk_id").alias("chunk_id"), F.explode(found).alias("f")).select("file", "pos", "chunk_id", "f.level", "f.rule")
