@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import re
 
+import pytest
+
 from folioscope.operators import quality as K
 from folioscope.plans.catalogue import QUERIES
 
@@ -24,7 +26,8 @@ def test_odd_records(spark):
     assert [got[i] - got[6] for i in (7, 8, 9)] == [{"metadata_type:themes"}, {"metadata_type:themes"}, {"metadata_type:letter_year"}] and "metadata_type:themes" not in got[6]
 
 
-def test_kinds_are_told_once(spark, sf_dir):
+@pytest.mark.parametrize("name", ["planted_defects", "first_diagnostics"])
+def test_kinds_are_told_once(spark, sf_dir, name):
     """Rules look them up: a schema costs a walk over the value, and there are a hundred rules."""
-    plan = QUERIES["planted_defects"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"schema_?of_?variant|SchemaOfVariant", plan)) < 15
