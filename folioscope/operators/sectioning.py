@@ -95,16 +95,18 @@ def split_sections(rows: DataFrame, key: str, start: Column, title: Column, drop
     return kept.withColumn("section_no", F.row_number().over(Window.partitionBy(key).orderBy("_n"))).drop("_n")
 
 
-def without_tables(lines: Column, profile: T.Profile = T.V3) -> Column:
-    """Lines outside table blocks of three lines or more, whether the section counts as having a table or not."""
-    blocks = S.table_blocks(lines, profile)
+def without_tables(lines: Column, profile: T.Profile = T.V3, blocks: Column | None = None) -> Column:
+    """Lines outside table blocks of three lines or more, whether the section counts as having a table or not; the blocks
+    can be given."""
+    blocks = S.table_blocks(lines, profile) if blocks is None else blocks
     return F.element_at(F.transform(F.array(blocks), lambda b: F.filter(lines, lambda _, i: ~F.exists(b, lambda x: i.between(x["first"], x["last"])))), 1)
 
 
-def table_texts(lines: Column, profile: T.Profile = T.V3, least: int = 50) -> Column:
-    """Texts of table blocks of over `least` characters, if the section has a table at all."""
+def table_texts(lines: Column, profile: T.Profile = T.V3, least: int = 50, blocks: Column | None = None) -> Column:
+    """Texts of table blocks of over `least` characters, if the section has a table at all; the blocks can be given."""
+    blocks = S.table_blocks(lines, profile) if blocks is None else blocks
     text = lambda b: F.array_join(F.slice(lines, b["first"] + 1, b["last"] - b["first"] + 1), "\n")
-    found = F.filter(F.transform(S.table_blocks(lines, profile), text), lambda t: F.length(t) > least)
+    found = F.filter(F.transform(blocks, text), lambda t: F.length(t) > least)
     return F.when(T.has_table(F.array_join(lines, "\n")), found).otherwise(F.array().cast("array<string>"))
 
 
@@ -117,7 +119,8 @@ def chunk_records(sections: DataFrame, key: str, year: Column, profile: T.Profil
     packed = F.filter(S.pack_paragraphs(S.join_sentences(F.col("plain")), profile), lambda c: T.tokens(c) >= profile.paragraph_min)
     body = F.when(size < profile.section_min, F.array().cast("array<string>")).when(size <= profile.long, F.array(text)).otherwise(packed)
     kind = F.when(size <= profile.long, "section").otherwise("paragraph")
-    cut = sections.withColumn("plain", without_tables(lines, profile)).withColumn("tables", table_texts(lines, profile))
+    cut = sections.withColumn("blocks", S.table_blocks(lines, profile))
+    cut = cut.withColumn("plain", without_tables(lines, profile, F.col("blocks"))).withColumn("tables", table_texts(lines, profile, blocks=F.col("blocks")))
     cut = cut.withColumn("body", body).withColumn("body_kind", kind)
     number = lambda k: lambda c, i: F.struct(k.alias("kind"), (i + 1).alias("sub"), c.alias("content"))
     rows = cut.select(key, "section_no", "section_title", F.size("body").alias("n_text"), F.explode(F.concat(F.transform("tables", number(F.lit("table"))), F.transform("body", number(F.col("body_kind"))))).alias("c"))
@@ -169,13 +172,19 @@ def tables_v1(lines: Column) -> Column:
     def step(s: Column, i: Column) -> Column:
         line = F.get(lines, i)
         early = F.greatest(i - 2, F.lit(0))
+        whole = lambda x: x.cast("int")
         numeric = line.rlike(r"^\s*\d{4}\s*\.{3,}|\$[\d,]+\s+\$[\d,]+")
         one = F.when(line.rlike(TABLE_TITLE), table_region_v1(lines, i))
         two = F.when(numeric, table_region_v1(lines, early))
         add = lambda a, b: F.concat(s["out"], F.array(F.struct(a.cast("int").alias("first"), b.cast("int").alias("last"))))
-        seen = F.exists(s["out"], lambda t: text(t["first"], t["last"]) == text(early, two))
         make = lambda out, skip: F.struct(out.alias("out"), skip.cast("int").alias("skip")).cast(state)
-        return F.when(i < s["skip"], s).when(F.coalesce(one > i + 2, F.lit(False)), make(add(i, one), one + 1)).when(F.coalesce(two > early + 2, F.lit(False)), make(F.when(seen, s["out"]).otherwise(add(early, two)), two + 1)).otherwise(s)
+
+        def take(r: Column) -> Column:
+            one, two = r["one"], r["two"]
+            seen = F.exists(s["out"], lambda t: text(t["first"], t["last"]) == text(early, two))
+            return F.when(F.coalesce(one > i + 2, F.lit(False)), make(add(i, one), one + 1)).when(F.coalesce(two > early + 2, F.lit(False)), make(F.when(seen, s["out"]).otherwise(add(early, two)), two + 1)).otherwise(s)
+
+        return F.when(i < s["skip"], s).otherwise(S.once(F.struct(whole(one).alias("one"), whole(two).alias("two")), take))
 
     start = F.struct(F.array().cast(item).alias("out"), F.lit(0).alias("skip")).cast(state)
     return F.aggregate(F.sequence(F.lit(0), F.size(lines) - 1), start, step, lambda s: s["out"])
@@ -184,11 +193,14 @@ def tables_v1(lines: Column) -> Column:
 def table_data(block: Column) -> Column:
     """struct<columns, rows, row_count>: cells lie two or more blanks apart; the first row names the columns where all have
     as many cells, else the rows are one column raw_line."""
-    lines = F.filter(F.split(block, "\n"), lambda x: T.strip(x) != "")
-    cells = F.transform(lines, lambda x: F.split(T.strip(x), r" {2,}"))
-    even = (F.size(cells) > 1) & (F.size(F.array_distinct(F.transform(cells, lambda c: F.size(c)))) == 1) & (F.size(F.get(cells, 0)) > 1)
-    rows = F.when(even, F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))).otherwise(F.transform(lines, lambda x: F.array(x)))
-    return F.struct(F.when(even, F.get(cells, 0)).otherwise(F.array(F.lit("raw_line"))).alias("columns"), rows.alias("rows"), F.size(rows).alias("row_count"))
+
+    def told(lines: Column, cells: Column) -> Column:
+        even = (F.size(cells) > 1) & (F.size(F.array_distinct(F.transform(cells, lambda c: F.size(c)))) == 1) & (F.size(F.get(cells, 0)) > 1)
+        rows = F.when(even, F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))).otherwise(F.transform(lines, lambda x: F.array(x)))
+        return F.struct(F.when(even, F.get(cells, 0)).otherwise(F.array(F.lit("raw_line"))).alias("columns"), rows.alias("rows"), F.size(rows).alias("row_count"))
+
+    solid = F.filter(F.split(block, "\n"), lambda x: T.strip(x) != "")
+    return S.once(solid, lambda lines: S.once(F.transform(lines, lambda x: F.split(T.strip(x), r" {2,}")), lambda cells: told(lines, cells)))
 
 
 # -- sizes, merges and directions of the specified tiers ------------------------------------------------------------------

@@ -4,6 +4,8 @@ Order-dependent rules are folds over a document's array of lines, so a document
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ JOINS = [*CONTINUES, *"its their our but so yet nor if when while each".split()]
 CLOSED = r"[.?!:\"')]$"
 
 
+def once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x) with x worked out once, however often f names it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def last(x: Column) -> Column:
     return F.try_element_at(x, F.lit(-1))
 
@@ -110,20 +117,25 @@ def islands(rows: DataFrame, key: str, order: str, flag: str, least: int = 3) ->
 
 def table_blocks(lines: Column, profile: T.Profile = T.V3, longest: int = 50, least: int = 3) -> Column:
     """array<struct<first,last>> of table blocks, one fold: a block starts on a table line, goes on over table lines,
-    lines with a wide gap and blanks before a table line, and has 3 to 50 lines."""
+    lines with a wide gap and blanks before a table line, and has 3 to 50 lines. Each line is held against the rules of a
+    table once; lines without a table line are not folded."""
     state = "struct<out:array<struct<first:int,last:int>>,start:int,n:int>"
     table = lambda x: F.coalesce(T.is_table_line(x, profile), F.lit(False))
+    empty = F.array().cast("array<struct<first:int,last:int>>")
     make = lambda out, start, n: F.struct(out.alias("out"), start.alias("start"), n.alias("n")).cast(state)
     close = lambda s, end: F.when(s["n"] >= least, F.concat(s["out"], F.array(F.struct(s["start"].alias("first"), end.alias("last")))))
 
-    def step(s: Column, i: Column) -> Column:
-        line, after = F.get(lines, i), F.get(lines, i + 1)
-        inside = (s["n"] > 0) & (s["n"] < longest) & (table(line) | line.rlike(r"\s{3,}\S") | (T.strip(line) == "") & table(after))
-        shut = F.coalesce(close(s, i - 1), s["out"])
-        return F.when(inside, make(s["out"], s["start"], s["n"] + 1)).when(table(line), make(shut, i, F.lit(1))).otherwise(make(shut, F.lit(0), F.lit(0)))
+    def fold(flags: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            line, own = F.get(lines, i), F.get(flags, i)
+            inside = (s["n"] > 0) & (s["n"] < longest) & (own | line.rlike(r"\s{3,}\S") | (T.strip(line) == "") & F.coalesce(F.get(flags, i + 1), F.lit(False)))
+            shut = F.coalesce(close(s, i - 1), s["out"])
+            return F.when(inside, make(s["out"], s["start"], s["n"] + 1)).when(own, make(shut, i, F.lit(1))).otherwise(make(shut, F.lit(0), F.lit(0)))
+
+        start = F.struct(empty.alias("out"), F.lit(0).alias("start"), F.lit(0).alias("n")).cast(state)
+        return F.aggregate(F.sequence(F.lit(0), F.size(lines) - 1), start, step, lambda s: F.coalesce(close(s, F.size(lines) - 1), s["out"]))
 
-    start = F.struct(F.array().cast("array<struct<first:int,last:int>>").alias("out"), F.lit(0).alias("start"), F.lit(0).alias("n")).cast(state)
-    return F.aggregate(F.sequence(F.lit(0), F.size(lines) - 1), start, step, lambda s: F.coalesce(close(s, F.size(lines) - 1), s["out"]))
+    return once(F.transform(lines, table), lambda flags: F.when(flags.isNull() | F.exists(flags, lambda x: x), fold(flags)).otherwise(empty))
 
 
 def section_headers(rows: DataFrame, key: str = "doc_id", table_words: list[str] | None = None, known: str = "(?!)", profile: T.Profile = T.V3) -> DataFrame:

@@ -24,8 +24,14 @@ def _letter(s: str) -> str:
     return _glue([OPENING, "''", "'Insurance Operations'", "''", BODY, *ROWS, "''", "'Then we rest.'", "''", "'Final Remarks'", "''", CLOSING], s)
 
 
+def customers(spark, d):
+    """Customers dealt by key over all tasks: a row of some bytes becomes a letter, so a file that is one split is much work;
+    the number is stated, as small partitions would be put together again. Windows by key need no further exchange."""
+    return read(spark, d, "customer").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
+
+
 def letters(spark, d):
-    read(spark, d, "customer").createOrReplaceTempView("folioscope_customers")
+    customers(spark, d).createOrReplaceTempView("folioscope_customers")
     return spark.sql(f"select c_custkey, cast(1970 + c_custkey % 50 as int) y, {_letter('string')} t from folioscope_customers")
 
 
