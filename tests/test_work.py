@@ -11,7 +11,7 @@ def plan(spark, sf_dir, name):
     return QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["chunk_records"])
+@pytest.mark.parametrize("name", ["chunk_records", "table_extraction"])
 def test_customers_are_dealt(spark, sf_dir, name):
     """One file of customers is one split; the letters made of it are work for all."""
     assert "RepartitionByExpression [c_custkey" in plan(spark, sf_dir, name)
